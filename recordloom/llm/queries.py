@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality, sharding
+from . import mixing, quality, sharding, tokens
 from .common import documents
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(documents(spark, sf_dir))
     return plan.selectExpr("doc_id", "size", "source_size", "target", "size * copies as taken", "source", "copies")
@@ -25,6 +31,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.selectExpr("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", f"(fail_bits & {base}) != 0 as base_failed", "kept", "fail_bits")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_mixing, op5_sharding, op6_quality)}
+def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.round_trip(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_mixing, op5_sharding, op6_quality, op7_token_ids)}
 
 ORACLE: dict[str, str] = {}
