@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality, sharding, tokens
+from . import mixing, pieces, quality, sharding, tokens
 from .common import documents
 
 
@@ -16,6 +16,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_documents(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(documents(spark, sf_dir))
     return plan.selectExpr("doc_id", "size", "source_size", "target", "size * copies as taken", "source", "copies")
@@ -35,6 +39,6 @@ def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.round_trip(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_mixing, op5_sharding, op6_quality, op7_token_ids)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_pieces, op4_mixing, op5_sharding, op6_quality, op7_token_ids)}
 
 ORACLE: dict[str, str] = {}
