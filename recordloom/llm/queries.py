@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, pieces, quality, sharding, tokens
+from . import mixing, ngram_join, pieces, quality, sharding, tokens
 from .common import documents
 
 
@@ -39,6 +39,10 @@ def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.round_trip(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_pieces, op4_mixing, op5_sharding, op6_quality, op7_token_ids)}
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components_of(documents(spark, sf_dir))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_pieces, op4_mixing, op5_sharding, op6_quality, op7_token_ids, op10_ngram_join)}
 
 ORACLE: dict[str, str] = {}
