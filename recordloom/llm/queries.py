@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, ngram_join, pieces, quality, sharding, tokens
+from . import html_text, mixing, ngram_join, pieces, quality, sharding, tokens
 from .common import documents
 
 
@@ -20,6 +20,10 @@ def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_texts(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(documents(spark, sf_dir))
     return plan.selectExpr("doc_id", "size", "source_size", "target", "size * copies as taken", "source", "copies")
@@ -43,6 +47,6 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.components_of(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_pieces, op4_mixing, op5_sharding, op6_quality, op7_token_ids, op10_ngram_join)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_pieces, op3_main_text, op4_mixing, op5_sharding, op6_quality, op7_token_ids, op10_ngram_join)}
 
 ORACLE: dict[str, str] = {}
