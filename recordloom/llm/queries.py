@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_text, media, mixing, ngram_join, pieces, quality, sharding, tokens, url_filter
+from . import html_text, licences, media, mixing, ngram_join, pieces, quality, sharding, tokens, url_filter
 from .common import documents
 
 
@@ -16,6 +16,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(documents(spark, sf_dir)).selectExpr("doc_id", "n_licence_lines", "array_join(families, ',') as families")
+
+
 def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
 
@@ -79,7 +83,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.components_of(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_pieces, op3_main_text, op4_mixing, op5_sharding, op6_quality, op7_token_ids, op8_url_filter, op9_media, op10_ngram_join)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_licence_scan, op2_pieces, op3_main_text, op4_mixing, op5_sharding, op6_quality, op7_token_ids, op8_url_filter, op9_media, op10_ngram_join)}
 
 def _op8_sql() -> str:
     values = ", ".join("(" + ", ".join(f"'{x}'" for x in e) + ")" for e in URL_ENTRIES)
@@ -105,8 +109,11 @@ FROM captures c LEFT JOIN hits h ON h.page_id = c.page_id AND h.rank = 1
 OP6_SQL = """
 WITH words AS (
   SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-windows AS (SELECT doc_id, unnest(range(1, len(w) - 6)) AS i, w FROM words WHERE len(w) >= 8),
-twice AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i + 7], ' ')) AS n FROM windows),
+tokens AS (SELECT doc_id, unnest(w) AS t, unnest(range(1, len(w) + 1)) AS i FROM words),
+windows AS (
+  SELECT doc_id, i, t || ' ' || lead(t, 1) OVER z || ' ' || lead(t, 2) OVER z || ' ' || lead(t, 3) OVER z || ' ' || lead(t, 4) OVER z || ' ' || lead(t, 5) OVER z
+    || ' ' || lead(t, 6) OVER z || ' ' || lead(t, 7) OVER z AS g FROM tokens WINDOW z AS (PARTITION BY doc_id ORDER BY i)),
+twice AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM windows WHERE g IS NOT NULL),
 marked AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM (SELECT doc_id, i, unnest(range(0, 8)) AS k FROM twice WHERE n > 1) GROUP BY doc_id),
 filled AS (
   SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup FROM (SELECT doc_id, unnest(lines) AS line FROM words)
