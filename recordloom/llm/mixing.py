@@ -127,12 +127,15 @@ def mix_plan(docs: DataFrame) -> DataFrame:
 def mixed(docs: DataFrame) -> DataFrame:
     """docs as the mix holds them: each row as often as it was taken, all columns kept. Documents without words, which no target counts, stay once."""
     names = docs.columns
-    plan = mix_plan(docs)
+    plan = stored(mix_plan(docs), "plan")
     key = ["doc_id", "source", "size"]
-    totals = plan.groupBy(*key).agg(*[F.count(F.when(F.col("copies") == c, 1)).alias(f"n{c}") for c in (1, 2)])
-    k = [F.col(f"t.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words("text").alias("size"), F.struct(*[f"`{c}`" for c in names]).alias("row"))
-    rows = rows.withColumn("dup", F.row_number().over(W.partitionBy(*key).orderBy(F.xxhash64("row"))))
-    copies = F.when(F.col("r.size") == 0, 1).when(F.col("dup") <= F.col("n2"), 2).when(F.col("dup") <= F.col("n2") + F.col("n1"), 1).otherwise(0)
-    out = rows.alias("r").join(totals.alias("t"), k[0] & k[1] & k[2]).withColumn("times", copies).where("times > 0")
-    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("nth")).select("row.*")
+    totals = plan.groupBy(*key).agg(*[F.count(F.when(F.col("copies") == c, 1)).alias(f"n{c}") for c in (1, 2)])
+    if plan.where("dup > 0").limit(1).count():  # rows alike: those that come first get the more copies
+        rows = rows.withColumn("nth", F.row_number().over(W.partitionBy(*key).orderBy(F.xxhash64("row"))))
+    else:
+        rows = rows.withColumn("nth", F.lit(1))
+    same = [F.col(f"t.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key]
+    copies = F.when(F.col("r.size") == 0, 1).when(F.col("nth") <= F.col("n2"), 2).when(F.col("nth") <= F.col("n2") + F.col("n1"), 1).otherwise(0)
+    out = rows.alias("r").join(totals.alias("t"), same[0] & same[1] & same[2]).withColumn("times", copies).where("times > 0")
+    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy")).select("row.*")

@@ -266,10 +266,13 @@ def components_of(docs: DataFrame) -> DataFrame:
 
 
 def one_each(docs: DataFrame) -> DataFrame:
-    """docs with one document of each component, that of the smallest id, all columns kept. Rows without any n-gram and without an id all stay."""
-    found = components_of(docs)
-    chosen = stored(found.where("doc_id = component_id").select("doc_id").distinct(), "chosen")
-    names = docs.columns
-    held = docs.join(chosen.withColumnRenamed("doc_id", "__id"), F.col("doc_id").cast("long") == F.col("__id"))
-    once = held.groupBy("__id").agg(F.min_by(F.struct(*[f"`{c}`" for c in names]), F.xxhash64(*[f"`{c}`" for c in names])).alias("row")).select("row.*")
-    return once.unionByName(docs.where("doc_id is null"))
+    """docs with one document of each component, that of the smallest id, all columns kept. Of several rows with that id one stays; rows without an id,
+    which can't be named, all stay."""
+    found = stored(components_of(docs), "components")
+    chosen = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("m"))
+    chosen = stored(chosen.withColumnRenamed("doc_id", "__id"), "chosen")
+    held = docs.join(chosen.select("__id"), F.col("doc_id").cast("long") == F.col("__id"), "left_semi")
+    if chosen.where("m > 1").limit(1).count():
+        row = F.struct(*[f"`{c}`" for c in docs.columns])
+        held = held.groupBy(F.col("doc_id").alias("__id")).agg(F.min_by(row, F.xxhash64(row)).alias("row")).select("row.*")
+    return held.unionByName(docs.where("doc_id is null"))
