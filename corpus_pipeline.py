@@ -6,27 +6,44 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordloom.llm import mixing, quality
+from recordloom.llm import mixing, ngram_join, pieces, quality
+from recordloom.llm.common import documents, stored
+from recordloom.llm.queries import tokenizer_file
 
 
-def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the production policy keeps."""
     return quality.keep_good(docs)
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares word shingles, the one of the smallest id."""
+    return ngram_join.one_each(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
     return mixing.mixed(docs)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("quality rules", rules), ("mixing", mix)]
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of each document."""
+    return pieces.encode_documents(docs, tokenizer_file("piece_bpe_32k.model"))
+
 
-#: Duels and pieces have no SQL form; tests hold run() against a plain version.
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicates),
+    ("mixing sources", source_mix),
+    ("SentencePiece", encoded),
+]
+
+#: The duels of the mix and the pieces have no SQL form; tests hold run() against a plain version.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from recordloom.llm.common import stored
-
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "_"))
     return STAGES[-1][1](spark, docs, sf_dir)
