@@ -4,9 +4,10 @@ The columns of the incidence (n-gram codes) are dealt into blocks; a block adds
 share, and returns the rest with their document counts. A document of n n-grams of which fewer than ceil(0.75 n) are left has no partner. Of the
 others, only the rarest columns are multiplied: with size(x) columns left, the first size(x) - ceil(0.75 n) + 1 in the order of counts; two
 linked documents share at least one of those. The product is not written out in full for a column of many documents: each document meets the
-column's centre first, and only those whose component then still differs from the centre's meet the rest. Overlaps of candidate pairs are counted over all columns,
-and pairs outside the size bound 75 * larger <= 100 * smaller are dropped before. So all links between different components are
-seen, while no column of m documents costs m * m pairs unless its documents really differ.
+column's centre first, and only those whose component then still differs from the centre's meet the rest. Before a pair is made, an upper bound of its overlap
+drops it: no more than the columns that either has left, less those that bitmaps of the two show to be missing in the other. Overlaps of the pairs that
+remain are counted over all columns. So all links between different components are seen, while a column of m documents doesn't
+cost m * m pairs.
 
 Columns of very many documents (over max(1000, 4 * all / CELLS) by a count sketch of fixed size) skip the counting and sort last.
 
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import release, stored
@@ -198,6 +199,46 @@ def _shared_columns(shift: int):
     return run
 
 
+def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """cls, n, alone (columns that no other class has), hs, and a bitmap of hs of at least eight bits a column."""
+    for batch in batches:
+        bits, n = [], batch.column(1).to_pylist()
+        for hs, k in zip(batch.column(3), n, strict=True):
+            size = max(64, 1 << (8 * k - 1).bit_length())
+            x = np.array(hs.as_py(), np.int64).view(np.uint64)
+            with np.errstate(over="ignore"):
+                at = ((x * M2) >> np.uint64(64 - size.bit_length() + 1)).astype(np.int64)
+            flags = np.zeros(size, bool)
+            flags[at] = True
+            bits.append(np.packbits(flags).view(np.int64))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bits, pa.list_(pa.int64()))], ["cls", "n", "alone", "hs", "bits"])
+
+
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the bitmap of half the size: two neighbouring bits are one, as the place of a column is the top of its code."""
+    for batch in batches:
+        folds = []
+        for x in batch.column(3):
+            flags = np.unpackbits(np.array(x.as_py(), np.int64).view(np.uint8))
+            half = flags[0::2] | flags[1::2]
+            folds.append(np.packbits(half).view(np.int64) if len(half) >= 64 else np.array(x.as_py(), np.int64))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(folds, pa.list_(pa.int64()))], ["cls", "n", "alone", "bits", "fold"])
+
+
+def _may_link(x: str, y: str) -> Column:
+    """Whether the overlap of x and y, by the columns that they have left, may reach the bound."""
+    left = F.least(F.col(f"{x}n") - F.col(f"{x}alone"), F.col(f"{y}n") - F.col(f"{y}alone"))
+    return 175 * left >= 75 * (F.col(f"{x}n") + F.col(f"{y}n"))
+
+
+def _bitmaps_may_link(x: str, y: str) -> Column:
+    """The same, less the columns that a bitmap shows to be missing in the other; the larger bitmap is folded, which pairs two neighbouring bits."""
+    return F.expr(f"""
+        175 * least({x}n - {x}alone - aggregate(zip_with(if(size({x}bits) > size({y}bits), {x}fold, {x}bits), if(size({y}bits) > size({x}bits), {y}fold, {y}bits), (p, q) -> bit_count(p & ~q)), 0, (a, p) -> a + p),
+                    {y}n - {y}alone - aggregate(zip_with(if(size({x}bits) > size({y}bits), {x}fold, {x}bits), if(size({y}bits) > size({x}bits), {y}fold, {y}bits), (p, q) -> bit_count(q & ~p)), 0, (a, p) -> a + p))
+        >= 75 * ({x}n + {y}n)""")
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of the edges (a, b), root being the smallest node of its component, by large and small stars in turn."""
     now = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "edges")
@@ -239,22 +280,26 @@ def components_of(docs: DataFrame) -> DataFrame:
     shared = rows.select("text").mapInArrow(_postings(hot, shift), "block int, blob binary").groupBy("block").applyInArrow(_shared_columns(shift), "cls long, h long, df int")
     lists = shared.groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("xs"))
     kept = classes.join(lists, "cls").where(100 * F.size("xs") >= 75 * F.col("n"))
-    lists = stored(kept.select("cls", "n", (F.col("n") - F.size("xs")).alias("alone"), F.col("xs.h").alias("hs")), "lists")
+    lists = kept.select("cls", "n", (F.col("n") - F.size("xs")).alias("alone"), F.col("xs.h").alias("hs"))
+    lists = stored(lists.mapInArrow(_bitmaps, "cls long, n long, alone long, hs array<bigint>, bits array<bigint>"), "lists")
     need = F.expr("cast((3 * n + 3) div 4 as int)")
     columns = stored(lists.select("cls", "n", "alone", F.explode(F.slice("hs", F.lit(1), F.size("hs") - need + 1)).alias("h")), "columns")
-    fits = lambda x, y: 100 * F.least(x, y) >= 75 * F.greatest(x, y)
-    centre = columns.groupBy("h").agg(F.min(F.struct("alone", "cls", "n")).alias("c"), F.count(F.lit(1)).alias("m")).where("m > 1").select("h", F.col("c.cls").alias("c"), F.col("c.n").alias("cn"))
-    star = columns.join(centre, "h").where((F.col("cls") != F.col("c")) & fits(F.col("n"), F.col("cn")))
+    centre = columns.groupBy("h").agg(F.min(F.struct("alone", "cls", "n")).alias("c"), F.count(F.lit(1)).alias("m")).where("m > 1").select("h", F.col("c.cls").alias("c"), F.col("c.n").alias("cn"), F.col("c.alone").alias("calone"))
+    star = columns.join(centre, "h").where((F.col("cls") != F.col("c")) & _may_link("", "c"))
     tested = stored(star.select(F.least("cls", "c").alias("a"), F.greatest("cls", "c").alias("b")).distinct(), "tested")
     links = stored(_linked(tested, lists), "links")
     roots = stored(connected(links), "roots")
     # columns whose documents are not all in the centre's component: the rest of them meet all others
-    at = columns.join(roots, F.col("cls") == F.col("node"), "left").select("h", "cls", "n", F.coalesce("root", "cls").alias("root"))
+    at = columns.join(roots, F.col("cls") == F.col("node"), "left").select("h", "cls", F.coalesce("root", "cls").alias("root"))
     c_at = centre.join(roots, F.col("c") == F.col("node"), "left").select("h", "c", F.coalesce("root", "c").alias("c_root"))
-    at = at.join(c_at, "h")
-    odd = at.where("root != c_root").select("h", F.col("cls").alias("x"), F.col("n").alias("xn"), F.col("root").alias("x_root"))
-    more = at.where("cls != c").join(odd, "h").where((F.col("root") != F.col("x_root")) & fits(F.col("n"), F.col("xn")))
-    more = more.select(F.least("cls", "x").alias("a"), F.greatest("cls", "x").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
+    at = stored(at.join(c_at, "h"), "at")
+    odd = at.where("root != c_root").select("h", F.col("cls").alias("x"), F.col("root").alias("xroot"))
+    open_ = odd.select("h").distinct()
+    known = lists.select("cls", "n", "alone", "bits").mapInArrow(_folded, "cls long, n long, alone long, bits array<bigint>, fold array<bigint>")
+    ys = at.join(open_, "h", "left_semi").where("cls != c").select("h", F.col("cls").alias("ycls"), F.col("root").alias("yroot")).join(known.select(*[F.col(k).alias(f"y{k}") for k in known.columns]), "ycls")
+    xs = odd.join(known.select(F.col("cls").alias("x"), *[F.col(k).alias(f"x{k}") for k in known.columns if k != "cls"]), "x")
+    more = ys.join(xs, (ys["h"] == xs["h"]) & (F.col("yroot") != F.col("xroot")) & _may_link("x", "y") & _bitmaps_may_link("x", "y"))
+    more = more.select(F.least("ycls", "x").alias("a"), F.greatest("ycls", "x").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
     late = stored(_linked(stored(more, "more"), lists), "links")
     if late.limit(1).count():
         roots = stored(connected(links.unionByName(late)), "roots")
