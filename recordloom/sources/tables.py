@@ -22,7 +22,7 @@ def as_records(df: DataFrame, source: int) -> DataFrame:
 
 def id_list(c: Column) -> Column:
     """Ids of a comma-joined list, blanks dropped."""
-    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def truth_pairs(truth: DataFrame) -> DataFrame:
