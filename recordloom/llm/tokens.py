@@ -9,6 +9,7 @@ segment of many blocks, so that only the text itself bounds memory.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import zlib
@@ -28,15 +29,18 @@ STRIDE = 256
 MAX_BITS = 16
 #: The pattern by which byte-level BPE cuts a text, for texts of SAFE characters only, where Python's classes agree with Unicode's.
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?[0-9]+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-UNSAFE = re.compile("[^\t\n\r -~ -ɏ]|[²³¹¼-¾]|<\\|endoftext\\|>")
-LOOSE = re.compile(r" (?:\s|\Z)")
+UNSAFE = re.compile("[^\t\n\r -~\u00a0-\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u024f]")
+SPECIAL = "<|endoftext|>"
+#: A space before a space or a line's end, and these others anywhere, belong to a run that is cut as a whole.
+MARKS = tuple(".,;:!?")
+LOOSE = ("  ", " \n", "\t", "\r", "\u00a0")
 
 
 class WordCache:
-    """Ids of whole texts from the tokenizers library, which is asked once for each distinct piece of a text. A text is cut at spaces; what follows a
-    space is looked up as a unit, and only unknown units are cut into pieces. Merges never cross a piece, so the ids are those of the whole text."""
+    """Ids of whole texts from the tokenizers library, which is asked once for each distinct piece. A text is cut at its spaces; a unit, the space with what follows it, is
+    encoded with other new units in one call, a line each. Merges reach across neither a space nor a line's end, so the ids are those of the whole text."""
 
-    MOST = 400_000
+    MOST = 700_000
 
     def __init__(self, path: str, dtype: type):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -45,66 +49,85 @@ class WordCache:
         self.encoder, self.dtype = Tokenizer.from_file(path), dtype
         self.units: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.marks = dict(zip(MARKS, self.whole(list(MARKS)), strict=True))
+        self.line_end = self.encoder.encode("\n", add_special_tokens=False).ids
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.encoder.encode_batch(texts, add_special_tokens=False)]
-
-    def learn(self, pieces: set[str]) -> None:
-        new = [p for p in pieces if p not in self.pieces]
-        plain = [p for p in new if "\n" not in p and not p.isspace()]
-        lined = "\n"
-        cut = self.encoder.encode(lined, add_special_tokens=False).ids
-        for i in range(0, len(plain), 2000):  # one text of many pieces, a line each: the line's end is one id that no piece holds
-            group = plain[i : i + 2000]
-            ids = np.array(self.encoder.encode(lined.join(group) + lined, add_special_tokens=False).ids, self.dtype)
-            ends = np.flatnonzero(ids == cut[0])
-            if len(cut) != 1 or len(ends) != len(group):
-                self.pieces.update(zip(group, self.whole(group), strict=True))
+        return [np.array(e.ids, self.dtype).tobytes() for e in self.encoder.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def lines(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, none of which holds a line's end or begins or ends a run of spaces."""
+        groups = [texts[i : i + 2000] for i in range(0, len(texts), 2000)]
+        out: list[bytes] = []
+        for group, e in zip(groups, self.encoder.encode_batch_fast(["\n".join(g) + "\n" for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, self.dtype)
+            ends = np.flatnonzero(ids == self.line_end[0])
+            if len(self.line_end) != 1 or len(ends) != len(group):
+                out.extend(self.whole(group))
                 continue
-            at = 0
-            for p, end in zip(group, ends.tolist(), strict=True):
-                self.pieces[p] = ids[at:end].tobytes()
-                at = end + 1
-        rest = [p for p in new if "\n" in p or p.isspace()]
-        self.pieces.update(zip(rest, self.whole(rest), strict=True))
+            raw, size = ids.tobytes(), ids.itemsize
+            ends = (ends * size).tolist()
+            out.extend([raw[a:b] for a, b in zip([0, *(e + size for e in ends[:-1])], ends, strict=True)])
+        return out
+
+    def of_pieces(self, texts: list[str]) -> list[bytes]:
+        """Texts of safe characters, piece by piece."""
+        found = [PIECES.findall(x) for x in texts]
+        new = [p for p in {p for x in found for p in x} if p not in self.pieces]
+        line = [p for p in new if not p.isspace()]
+        self.pieces.update(zip(line, self.lines(line), strict=True))
+        space = [p for p in new if p.isspace()]
+        self.pieces.update(zip(space, self.whole(space), strict=True))
+        known = self.pieces.__getitem__
+        return [b"".join(map(known, x)) for x in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.units) > self.MOST or len(self.pieces) > self.MOST:
+        if len(self.units) > self.MOST:
             self.units.clear()
+        if len(self.pieces) > self.MOST // 4:
             self.pieces.clear()
         out: list[bytes | None] = [None] * len(texts)
-        loose, cut = {}, {}
+        cut: dict[int, list[str]] = {}
+        loose: list[int] = []
         for i, x in enumerate(texts):
-            if UNSAFE.search(x):
+            if SPECIAL in x or UNSAFE.search(x):
                 continue
-            if LOOSE.search(x):
-                loose[i] = PIECES.findall(x)
+            if x[-1:] == " " or any(c in x for c in LOOSE):
+                loose.append(i)
             else:
                 cut[i] = x.split(" ")
-        units = set()
+        met: set[str] = set()
         for x in cut.values():
-            units.update(x[1:])
-        new = {u: PIECES.findall(" " + u) for u in units if u not in self.units}
-        firsts = {i: PIECES.findall(x[0]) for i, x in cut.items()}
-        needed = set()
-        for some in (new, loose, firsts):
-            for x in some.values():
-                needed.update(x)
-        self.learn(needed)
-        known = self.pieces.__getitem__
-        for u, x in new.items():
-            self.units[u] = b"".join(map(known, x))
-        unit = self.units.__getitem__
-        for i, x in cut.items():
-            out[i] = b"".join(map(known, firsts[i])) + b"".join(map(unit, x[1:]))
-        for i, x in loose.items():
-            out[i] = b"".join(map(known, x))
+            met.update(x[1:])
+        units, mark = self.units, self.marks
+        new = [u for u in met if u not in units]
+        marked = [u for u in new if u[-1:] in mark and u[-2:-1].isalpha() and "\n" not in u]  # a mark behind a letter is a piece of its own
+        plain = {u[:-1] for u in marked}
+        plain.update(u for u in new if "\n" not in u)
+        plain.difference_update(marked)
+        fresh = [u for u in plain if u not in units]
+        units.update(zip(fresh, self.lines([" " + u for u in fresh]), strict=True))
+        for u in marked:
+            units[u] = units[u[:-1]] + mark[u[-1]]
+        broken = [u for u in new if "\n" in u]
+        units.update(zip(broken, self.of_pieces([" " + u for u in broken]), strict=True))
+        unit = units.__getitem__
+        for (i, x), first in zip(cut.items(), self.of_pieces([x[0] for x in cut.values()]), strict=True):
+            out[i] = first + b"".join(map(unit, x[1:]))
+        for i, ids in zip(loose, self.of_pieces([texts[i] for i in loose]), strict=True):
+            out[i] = ids
         rest = [i for i, x in enumerate(out) if x is None]
         for i, ids in zip(rest, self.whole([texts[i] for i in rest]), strict=True):
             out[i] = ids
         return out  # type: ignore[return-value]
 
 
+@functools.lru_cache(1)
+def word_cache(path: str, dtype: type) -> WordCache:
+    """One for each Python worker, which keeps it from task to task."""
+    return WordCache(path, dtype)
+
+
 RAW = "part int, seq int, first long, doc_ids array<bigint>, n_tokens array<bigint>, ids binary"
 WRITTEN = "part int, seq int, first long, doc_ids array<bigint>, n_tokens array<bigint>, points binary, bits binary"
 
@@ -114,7 +137,7 @@ def _tokenised(path: str, wide: bool):
     end = np.array([END_ID], dtype).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordCache(path, dtype)
+        cache = word_cache(path, dtype)
         part, seq, first = TaskContext.get().partitionId(), 0, 0
         ids, counts, blobs, held = [], [], [], 0
 
