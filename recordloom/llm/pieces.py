@@ -12,6 +12,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
 from collections.abc import Iterator
@@ -130,7 +131,7 @@ def encode_sorted(model: Model, words: list[str]) -> list[list[str]]:
 class Encoder:
     """Ids of texts; words met before are looked up, new ones go through the shared pass together."""
 
-    MOST = 400_000
+    MOST = 700_000
 
     def __init__(self, model: Model):
         self.model = model
@@ -180,6 +181,13 @@ class Decoder:
         return out[1:] if out[:1] == b" " else out  # the mark before the first word
 
 
+@functools.lru_cache(2)
+def coders(path: str) -> tuple[Encoder, Decoder]:
+    """One pair for each Python worker, which keeps what it has learned from task to task."""
+    model = Model.load(path)
+    return Encoder(model), Decoder(model)
+
+
 SCHEMA = "doc_id long, n_pieces long, ids array<int>, decoded_crc32 long, round_trip boolean"
 
 
@@ -187,8 +195,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, ids, their number, the checksum of the bytes that the ids decode to, and whether those are the text's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model.load(path)
-        encoder, decoder = Encoder(model), Decoder(model)
+        encoder, decoder = coders(path)
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
@@ -209,7 +216,7 @@ def decode_documents(rows: DataFrame, path: str) -> DataFrame:
     """doc_id, text from doc_id, ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(Model.load(path))
+        decoder = coders(path)[1]
         for batch in batches:
             texts = [decoder.decode(np.array(x.as_py() or [], np.int32)).decode("utf-8", "replace") for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
