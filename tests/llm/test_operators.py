@@ -331,6 +331,20 @@ def test_html(spark):
     assert html_text.main_texts(pages.where("false")).count() == 0
 
 
+def texts_of(spark, htmls, host="a.example"):
+    pages = spark.createDataFrame([(i, f"http://{host}/{i}", x) for i, x in enumerate(htmls)], "page_id long, url string, html string")
+    return [r["text"] for r in sorted(rows_of(html_text.main_texts(pages)), key=lambda r: r["page_id"])]
+
+
+def test_html_template_inside_articles(spark):
+    rng = random.Random(11)
+    own = [[prose(rng, 30), prose(rng, 20)] for _ in range(8)]
+    page = "<body><p>top</p><main><article><div class=x7>Our site keeps crumbs</div><p>{}</p><p>{}</p><div class=x8>Tell your friends</div></article></main>"
+    assert texts_of(spark, [page.format(*x) for x in own]) == ["\n\n".join(x) for x in own]
+    copies = [f"<article><p>{own[0][0]}</p><p>{own[0][1]}</p><p>{i}</p></article>" for i in range(8)]  # near copies of one article stay whole
+    assert texts_of(spark, copies) == ["\n\n".join([*own[0], str(i)]) for i in range(8)]
+
+
 def test_tree_matching_by_brute_force():
     rng = random.Random(3)
 
