@@ -345,6 +345,18 @@ def test_html_template_inside_articles(spark):
     assert texts_of(spark, copies) == ["\n\n".join([*own[0], str(i)]) for i in range(8)]
 
 
+def test_html_layouts_of_a_host(spark):
+    rng = random.Random(12)
+    own = [prose(rng, 30) for _ in range(15)]
+    one = "<body><div class=frame><div class=x7>Our site keeps crumbs</div><p>{}</p></div></body>"
+    two = "<body><table class=old><tr><td>An older part</td></tr><tr><td>{}</td></tr></table></body>"
+    pages = [*(one.format(x) for x in own[:6]), *(two.format(x) for x in own[6:12])]
+    assert texts_of(spark, ["<body><dl><dt>Not found</dt></dl></body>", *pages]) == ["Not found", *own[:12]]  # the first page is an odd one
+    assert texts_of(spark, [one.format(x) for x in own[12:]]) == own[12:]  # three pages
+    near = [f"<body><div class=frame><p>{own[0]}</p><p>{i}</p></div></body>" for i in range(3)]
+    assert texts_of(spark, near) == [f"{own[0]}\n\n{i}" for i in range(3)]
+
+
 def test_tree_matching_by_brute_force():
     rng = random.Random(3)
 
