@@ -357,6 +357,15 @@ def test_html_layouts_of_a_host(spark):
     assert texts_of(spark, near) == [f"{own[0]}\n\n{i}" for i in range(3)]
 
 
+def test_html_links_that_are_text():
+    body = "<body><ul><li><a>Home page</a></li><li><a>All news</a></li></ul><div class=content><h2><a>Linked title</a></h2><p>{}</p><ul><li><a>First source</a></li><li><a>Next source</a></li></ul></div></body>"
+    own = prose(random.Random(13), 40)
+    assert html_text.extract(body.format(own)) == f"Linked title\n\n{own}\n\nFirst source\n\nNext source"
+    plain = f"<body><ul><li><a>Home page</a></li><li><a>All news</a></li></ul><h2><a>Linked title</a></h2><p>{own}</p><p>See <a>\n          here\n          </a> now</p><div><a>One</a> | <a>Two</a></div></body>"
+    assert html_text.extract(plain) == f"Linked title\n\n{own}\n\nSee here now"
+    assert html_text.blocks_of(html_text.parse("<p>a <a>  b\n  c </a></p>"), False)[0][1:] == ("a b c", 3, 1)
+
+
 def test_tree_matching_by_brute_force():
     rng = random.Random(3)
 
