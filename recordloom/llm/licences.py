@@ -2,8 +2,9 @@
 looks like a licence but isn't surely one family is "unknown"; a comparison with the family's templates confirms a prediction.
 
 Every n-gram of the vocabulary holds an anchor, a word of the templates that isn't common speech. A paragraph without an anchor therefore has no feature and is no
-licence, which is what lets a pattern of the anchors stand before the rest without changing a result. Paragraphs are the lines of a text. Equal paragraphs, by
-their words, are classified once. Training takes a fixed number of rows made from the templates (VARIANTS of each) on the driver; scanning uses
+licence, which is what lets a pattern of the anchors stand before the rest without changing a result. Paragraphs are consecutive lines that aren't empty, as of a
+wrapped notice, and each line by itself, as of a notice within prose. A line that is surely of a family has that one; a family that only its paragraph shows goes to
+the paragraph's other lines with anchors. Equal paragraphs, by their words, are classified once. Training takes a fixed number of rows made from the templates (VARIANTS of each) on the driver; scanning uses
 DataFrame functions only.
 
 Defined cases: a null or empty text has no licence (empty families, 0 paragraphs); equal rows give equal rows; a document's lines are counted as often as they occur;
@@ -208,12 +209,24 @@ def _tokens(line: Column) -> Column:
     return F.regexp_extract_all(F.regexp_replace(F.lower(line), "[0-9]+", "0"), F.lit("([a-z0]+)"), 1)
 
 
+def _near(words: Column, model: Model) -> Column:
+    """The anchors of a paragraph with the word before and after each, which is all that n-grams with an anchor are made of; a bar for what is left out."""
+    anchor = "(?:" + "|".join(sorted(model.anchors, key=lambda x: (-len(x), x))) + ")(?![a-z0])"
+    pattern = f"(?<![a-z0])(?:[a-z0]+ )?{anchor}(?: (?:[a-z0]+ )?{anchor})*+(?: [a-z0]+)?"
+    return F.array_join(F.regexp_extract_all(words, F.lit(pattern), F.lit(0)), " | ")
+
+
 def lines_of(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, code of the text, line number and words of each line that holds an anchor; lines of equal rows once."""
+    """doc_id, code of the text, paragraph number, line number and words of each line that holds an anchor, and line 0 for each paragraph of several lines with one."""
     gate = "(?i)(?<![a-z])(?:" + "|".join(sorted(model.anchors, key=lambda x: (-len(x), x))) + ")(?![a-z])"
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("code"), F.posexplode(F.split(text, "\n")).alias("at", "line"))
-    return rows.where(F.col("line").rlike(gate)).select("doc_id", "code", "at", F.array_join(_tokens(F.col("line")), " ").alias("words"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("code"), F.posexplode(F.split(text, r"\n(?:[^\S\n]*\n)+")).alias("paragraph", "block"))
+    rows = rows.where(F.col("block").rlike(gate))
+    rows = rows.select("doc_id", "code", "paragraph", F.posexplode(F.concat(F.array("block"), F.split("block", "\n"))).alias("at", "line"))
+    whole = F.col("at") == 0
+    rows = rows.where(F.when(whole, F.col("line").contains("\n")).otherwise(F.col("line").rlike(gate)))
+    words = F.array_join(_tokens(F.col("line")), " ")
+    return rows.select("doc_id", "code", "paragraph", "at", F.when(whole, _near(words, model)).otherwise(words).alias("words"))
 
 
 def classified(words: DataFrame, model: Model) -> DataFrame:
@@ -243,7 +256,14 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     model = model or train()
     lines = stored(lines_of(docs, model), "lines")
     families = stored(classified(lines, model), "families")
-    hits = lines.join(families, "words").groupBy("doc_id", "code", "at").agg(F.first("family").alias("family"))  # lines of equal rows are one
+    hits = lines.join(families, "words", "left").groupBy("doc_id", "code", "paragraph", "at").agg(F.first("family").alias("family"))  # lines of equal rows are one
+    whole = F.col("at") == 0
+    parts = hits.groupBy("doc_id", "code", "paragraph").agg(
+        F.max(F.when(whole, F.col("family"))).alias("of_all"), F.collect_set(F.when(~whole, F.col("family"))).alias("own"), F.collect_list(F.when(~whole, F.struct("family"))).alias("lines")
+    )
+    more = F.when(F.col("of_all") == "unknown", F.size("own") == 0).otherwise(~F.array_contains("own", F.col("of_all")))  # what no line shows by itself
+    family = F.when(more & F.coalesce(F.col("line.family"), F.lit("unknown")).eqNullSafe("unknown"), F.col("of_all")).otherwise(F.col("line.family"))
+    hits = parts.select("*", F.explode("lines").alias("line")).select("doc_id", "code", family.alias("family")).where("family is not null")
     by_family = hits.groupBy("doc_id", "code", "family").agg(F.count(F.lit(1)).alias("n"))
     by_doc = by_family.groupBy("doc_id", "code").agg(F.sum("n").alias("n_licence_lines"), F.sort_array(F.collect_list(F.struct("family", "n"))).alias("found"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("code")).alias("r")

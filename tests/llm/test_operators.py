@@ -405,6 +405,15 @@ def test_licences(spark, odd):
     assert licences.scan(empty(spark), model).count() == 0 and licences.scan(odd, model).count() == odd.count()
 
 
+def test_licences_of_wrapped_notices(spark):
+    mit = "Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software and associated documentation\nfiles, to deal in the Software without restriction."
+    bsd = "Redistribution and use in source and binary forms, with or\r\nwithout modification, are permitted provided that the following\r\nconditions are met."
+    texts = [mit, f"Some prose here.\n\n{bsd}\n \nMore prose.", f"{mit}\n\n{bsd}", "Prose.\nReleased under the MIT License.\nMore prose about a river.", mit.replace("\n", " ")]
+    got = {r["doc_id"]: r for r in rows_of(licences.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))}
+    assert [got[i]["families"] for i in range(5)] == [["mit"], ["bsd"], ["bsd", "mit"], ["mit"], ["mit"]]
+    assert got[3]["n_licence_lines"] == got[4]["n_licence_lines"] == 1 and got[0]["n_licence_lines"] > 1
+
+
 def test_url_filter(spark):
     entries = [("l", "domain", "Bad.example", "block", "2024-02-01"), ("l", "domain", "bad.example", "remove", "2024-03-01"), ("l", "domain", "bad.example", "remove", "2024-03-01"), ("m", "prefix", "ok.example/a/", "block", "2024-01-01"), ("n", "domain", "ok.example", "allow", "2024-01-01"), (None, "domain", None, "block", None)]
     log = spark.createDataFrame(entries, "list_name string, kind string, pattern string, action string, since string")
