@@ -12,6 +12,9 @@ mixed().
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -23,6 +26,7 @@ SHARE = 1.5
 MOST = 2.0
 FAN_IN = 48
 EPS = 1e-9
+CHUNK = 4096
 
 
 def source_targets(sizes: DataFrame, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -104,14 +108,23 @@ def decided(units: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
     return out.select("source", "u.doc_id", "u.size", "u.dup", "u.p")
 
 
+def _numbered(alike: DataFrame) -> DataFrame:
+    """alike with dup = 0 ... m - 1. Many equal rows are dealt out in chunks first, so that no task makes them all and no array holds more than a chunk of them."""
+    few = alike.where(F.col("m") <= CHUNK).withColumn("dup", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)))
+    chunks = alike.where(F.col("m") > CHUNK).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("m") - 1) / CHUNK))))
+    chunks = chunks.repartition("doc_id", "source", "size", "chunk")
+    last = F.least(F.col("m"), (F.col("chunk") + 1) * CHUNK) - 1
+    return few.unionByName(chunks.withColumn("dup", F.explode(F.sequence(F.col("chunk") * CHUNK, last))).drop("chunk"))
+
+
 def mix_plan(docs: DataFrame) -> DataFrame:
     """doc_id, size, source, dup, source_size, target, copies for every row of docs (doc_id, text, source). Rows alike in id, source and size are one
     row with a count until they are numbered by dup, so that a third of all rows may be alike."""
     sizes = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words("text").alias("size")), "sizes")
     targets = stored(source_targets(sizes), "targets")
     alike = sizes.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("m"))
-    rows = alike.join(targets.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s"))).select(
-        "doc_id", "source", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)).alias("dup"), "source_size", "target", "n",
+    rows = _numbered(alike).join(targets.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s"))).select(
+        "doc_id", "source", "size", "dup", "source_size", "target", "n",
         F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("ratio"),
     )
     rows = rows.withColumn("whole", F.floor(F.col("ratio") + EPS)).withColumn("p", F.col("ratio") - F.col("whole"))
@@ -124,18 +137,36 @@ def mix_plan(docs: DataFrame) -> DataFrame:
     )
 
 
+def _times(rows: DataFrame) -> DataFrame:
+    """rows (row, times) as often as times says, in chunks."""
+    chunks = rows.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("times") - 1) / CHUNK))))
+    n = F.least(F.lit(CHUNK).cast("long"), F.col("times") - F.col("chunk") * CHUNK)
+    return chunks.select("row", F.explode(F.sequence(F.lit(1).cast("long"), n)).alias("copy")).select("row.*")
+
+
 def mixed(docs: DataFrame) -> DataFrame:
-    """docs as the mix holds them: each row as often as it was taken, all columns kept. Documents without words, which no target counts, stay once."""
+    """docs as the mix holds them: each row as often as it was taken, all columns kept. Documents without words, which no target counts, stay once.
+
+    Texts move once, to meet the narrow plan by id and source, by the same plan at any size. Rows that share their id and source are counted by their values, so that
+    equal rows are one until they are given out, and numbered in salted parts of a key."""
     names = docs.columns
     plan = stored(mix_plan(docs), "plan")
-    key = ["doc_id", "source", "size"]
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words("text").alias("size"), F.struct(*[f"`{c}`" for c in names]).alias("row"))
-    totals = plan.groupBy(*key).agg(*[F.count(F.when(F.col("copies") == c, 1)).alias(f"n{c}") for c in (1, 2)])
-    if plan.where("dup > 0").limit(1).count():  # rows alike: those that come first get the more copies
-        rows = rows.withColumn("nth", F.row_number().over(W.partitionBy(*key).orderBy(F.xxhash64("row"))))
-    else:
-        rows = rows.withColumn("nth", F.lit(1))
-    same = [F.col(f"t.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key]
-    copies = F.when(F.col("r.size") == 0, 1).when(F.col("nth") <= F.col("n2"), 2).when(F.col("nth") <= F.col("n2") + F.col("n1"), 1).otherwise(0)
-    out = rows.alias("r").join(totals.alias("t"), same[0] & same[1] & same[2]).withColumn("times", copies).where("times > 0")
-    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy")).select("row.*")
+    key = ["doc_id", "source"]
+    by_key = plan.groupBy(*key).agg(F.count(F.lit(1)).alias("m"), F.max(F.when(F.col("size") == 0, 1).otherwise(F.col("copies"))).cast("long").alias("times"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.struct(*[f"`{c}`" for c in names]).alias("row"))
+    met = lambda left, right, on: (left.alias("r").join(right.hint("shuffle_hash").alias("t"), reduce(and_, [F.col(f"t.{c}").eqNullSafe(F.col(f"r.{c}")) for c in on])))
+    out = _times(met(rows, by_key.where("m = 1 and times > 0"), key).select("r.row", "t.times"))
+    if not plan.where("dup > 0").limit(1).count() and not by_key.where("m > 1").limit(1).count():
+        return out
+    again = met(rows, by_key.where("m > 1"), key).select("r.*").groupBy(*key, "row").agg(F.count(F.lit(1)).alias("c"))
+    again = again.withColumn("size", n_words(F.col("row")["text"]))
+    key = [*key, "size"]
+    totals = plan.groupBy(*key).agg(*[F.count(F.when(F.col("copies") == c, 1)).alias(f"n{c}") for c in (1, 2)], F.count(F.lit(1)).alias("m"))
+    again = stored(met(again, totals, key).select("r.*", "t.n1", "t.n2", F.pmod(F.xxhash64("r.row"), F.ceil(F.col("t.m") / CHUNK)).alias("salt")), "again")
+    before = F.sum("c").over(W.partitionBy(*key).orderBy("salt").rowsBetween(W.unboundedPreceding, -1))
+    starts = again.groupBy(*key, "salt").agg(F.sum("c").alias("c")).withColumn("start", F.coalesce(before, F.lit(0))).drop("c")
+    within = F.sum("c").over(W.partitionBy(*key, "salt").orderBy(F.xxhash64("row")).rowsBetween(W.unboundedPreceding, -1))
+    again = met(again, starts, [*key, "salt"]).select("r.*", "t.start").withColumn("first", F.col("start") + F.coalesce(within, F.lit(0)))
+    upto = lambda n: F.greatest(F.lit(0), F.least(F.col("first") + F.col("c"), n) - F.col("first"))
+    times = F.when(F.col("size") == 0, F.col("c")).otherwise(upto(F.col("n2")) + upto(F.col("n2") + F.col("n1")))
+    return out.unionByName(_times(again.withColumn("times", times.cast("long")).where("times > 0")))

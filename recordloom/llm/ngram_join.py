@@ -300,9 +300,14 @@ def components_of(docs: DataFrame) -> DataFrame:
     xs = odd.join(known.select(F.col("cls").alias("x"), *[F.col(k).alias(f"x{k}") for k in known.columns if k != "cls"]), "x")
     more = ys.join(xs, (ys["h"] == xs["h"]) & (F.col("yroot") != F.col("xroot")) & _may_link("x", "y") & _bitmaps_may_link("x", "y"))
     more = more.select(F.least("ycls", "x").alias("a"), F.greatest("ycls", "x").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-    late = stored(_linked(stored(more, "more"), lists), "links")
+    more = stored(more, "more")
+    late = stored(_linked(more, lists), "links")
+    for done in (more, at, columns, lists, tested):
+        release(done)
     if late.limit(1).count():
         roots = stored(connected(links.unionByName(late)), "roots")
+    release(links)
+    release(late)
     named = classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "rep", F.coalesce("root", "cls").alias("root"))
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     by_class = named.join(least, "root").select("cls", "component_id")
@@ -312,12 +317,16 @@ def components_of(docs: DataFrame) -> DataFrame:
 
 def one_each(docs: DataFrame) -> DataFrame:
     """docs with one document of each component, that of the smallest id, all columns kept. Of several rows with that id one stays; rows without an id,
-    which can't be named, all stay."""
+    which can't be named, all stay. Texts move once, to meet the ids that stay, by the same plan at any size."""
     found = stored(components_of(docs), "components")
-    chosen = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("m"))
-    chosen = stored(chosen.withColumnRenamed("doc_id", "__id"), "chosen")
-    held = docs.join(chosen.select("__id"), F.col("doc_id").cast("long") == F.col("__id"), "left_semi")
+    chosen = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("chosen_id")).agg(F.count(F.lit(1)).alias("m"))
+    chosen = stored(chosen, "chosen")
+    release(found)
+    row = F.struct(*[f"`{c}`" for c in docs.columns]).alias("row")
+    rows = docs.select(F.col("doc_id").cast("long").alias("row_id"), row)
+    met = lambda some: rows.join(some.select("chosen_id").hint("shuffle_hash"), F.col("row_id") == F.col("chosen_id"), "left_semi")
+    held = met(chosen.where("m = 1")).select("row.*")
     if chosen.where("m > 1").limit(1).count():
-        row = F.struct(*[f"`{c}`" for c in docs.columns])
-        held = held.groupBy(F.col("doc_id").alias("__id")).agg(F.min_by(row, F.xxhash64(row)).alias("row")).select("row.*")
+        several = met(chosen.where("m > 1")).groupBy("row_id").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+        held = held.unionByName(several.select("row.*"))
     return held.unionByName(docs.where("doc_id is null"))

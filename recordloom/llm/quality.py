@@ -2,7 +2,7 @@
 masks over those bits, so that another policy, or an ablation, never reads a text again.
 
 Defined cases: a null text has no words, so all measurements are 0 and the rule on few words fails; an empty table gives an empty ledger; equal
-rows give equal ledger rows; columns of the input that carry the name of a ledger column stay out of the ledger (only id and text are read).
+rows give equal ledger rows; columns of the input that carry the name of a ledger column stay out of the ledger (only id and text are read) and pass through keep_good().
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: name -> SQL over the measurements that is true where the rule fails. The order fixes the bits; new rules go to the end.
@@ -28,6 +28,7 @@ RULES: dict[str, str] = {
 SYMBOLS = b"#*$%&|<>"
 UPPER, LOWER = bytes(range(65, 91)), bytes(range(97, 123))
 SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_letters long, n_upper long"
+MEASURES = tuple(x.split()[0] for x in SCHEMA.split(", ")[1:])
 WINDOW = 8
 
 
@@ -97,15 +98,26 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in columns)], names)
 
 
+def _bits(measured: dict[str, str]) -> Column:
+    """fail_bits from measurements: name -> SQL of its value."""
+    def rule(text: str) -> str:
+        return re.sub(r"\b(" + "|".join(measured) + r")\b", lambda m: measured[m[1]], text)
+
+    return F.expr(" | ".join(f"cast(if({rule(r)}, {1 << i}, 0) as long)" for i, r in enumerate(RULES.values())))
+
+
 def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: its measurements, and fail_bits with bit i set where rule i of RULES fails."""
+    """One row per document: its measurements, and fail_bits with bit i set where rule i of RULES fails. Store it: policies and ablations read it, not the texts."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_measured, SCHEMA)
-    bits = " | ".join(f"cast(if({rule}, {1 << i}, 0) as long)" for i, rule in enumerate(RULES.values()))
-    return rows.withColumn("fail_bits", F.expr(bits))
+    return rows.withColumn("fail_bits", _bits({n: n for n in MEASURES}))
+
 
+def _failed(mask: int) -> Column:
+    return F.col("fail_bits").bitwiseAND(F.lit(mask).cast("long"))
 
-def apply_policy(rows: DataFrame, policy: Policy) -> DataFrame:
-    return rows.withColumn("kept", F.col("fail_bits").bitwiseAND(F.lit(policy.mask)) == 0)
+
+def apply_policy(rows: DataFrame, policy: Policy, name: str = "kept") -> DataFrame:
+    return rows.withColumn(name, _failed(policy.mask) == 0)
 
 
 def ablations(rows: DataFrame, policies: list[Policy]) -> DataFrame:
@@ -128,19 +140,27 @@ def ablations(rows: DataFrame, policies: list[Policy]) -> DataFrame:
     )
 
 
+def with_only_rule(rows: DataFrame, policy: Policy) -> DataFrame:
+    """rows of a ledger with only_rule, the rule that alone rejects the document (null if none or several do), and n_only, the documents that the policy would take back
+    without that rule, from ablations(). The joined table has a row for each rule."""
+    found = ablations(rows, [policy]).select(F.col("rule").alias("only_rule"), "n_only")
+    only = F.coalesce(*[F.when(_failed(policy.mask) == 1 << i, r) for i, r in enumerate(RULES)])
+    return rows.withColumn("only_rule", only).join(F.broadcast(found), "only_rule", "left")
+
+
 def keep_good(docs: DataFrame, policy: Policy = PRODUCTION) -> DataFrame:
-    """The documents that the policy keeps, with all their columns. The decision is computed beside the row, so ids need not be unique."""
+    """The documents that the policy keeps, with all their columns. The ledger's bits are carried beside the row, so ids need not be unique and texts don't move."""
     names = docs.columns
-    rule = " or ".join(f"({RULES[r]})" for r in policy.rules)
+    carried = "measured"
+    while carried in {n.lower() for n in names}:
+        carried += "_"
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [measurements(x.as_py()) for x in batch.column(names.index("text")).cast(pa.binary())]
             values = pa.array(rows, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, values], [*names, "__m"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, values], [*names, carried])
 
-    m = [x.split()[0] for x in SCHEMA.split(", ")][1:]
-    out = docs.mapInArrow(measured, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", __m array<bigint>")
-    for i, name in enumerate(m):
-        rule = re.sub(rf"\b{name}\b", f"__m[{i}]", rule)
-    return out.where(f"not ({rule})").select(*[f"`{c}`" for c in names])
+    out = docs.mapInArrow(measured, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", {carried} array<bigint>")
+    rows = out.select(F.struct(*[f"`{c}`" for c in names]).alias("row"), _bits({n: f"{carried}[{i}]" for i, n in enumerate(MEASURES)}).alias("fail_bits"))
+    return apply_policy(rows, policy).where("kept").select("row.*")

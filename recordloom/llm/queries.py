@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import html_text, licences, media, mixing, ngram_join, pieces, quality, sharding, tokens, url_filter
-from .common import documents
+from .common import documents, stored
 
 
 def tokenizer_file(name: str) -> str:
@@ -38,9 +38,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = quality.apply_policy(quality.ledger(documents(spark, sf_dir)), quality.PRODUCTION)
-    base = quality.BASE.mask
-    return rows.selectExpr("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", f"(fail_bits & {base}) != 0 as base_failed", "kept", "fail_bits")
+    """The ledger is written once; two versions of the policy and the ablations read it."""
+    rows = stored(quality.ledger(documents(spark, sf_dir)), "ledger")
+    rows = quality.apply_policy(quality.apply_policy(rows, quality.BASE, "base_kept"), quality.PRODUCTION)
+    rows = quality.with_only_rule(rows, quality.PRODUCTION)
+    return rows.selectExpr("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "not base_kept as base_failed", "kept", "fail_bits", "only_rule", "n_only")
 
 
 def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,7 +129,9 @@ m AS (
 bits AS (
   SELECT *, CAST((n_words < 20)::INT + 2 * (100 * n_repeat_words > 30 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT + 8 * (n_lines >= 4 AND 100 * n_dup_lines > 50 * n_lines)::INT
     + 16 * (n_words >= 20 AND 100 * n_upper > 80 * n_letters)::INT + 32 * (n_words > 0 AND word_chars > 40 * n_words)::INT AS BIGINT) AS fail_bits FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM bits
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits,
+  CASE fail_bits WHEN 1 THEN 'few_words' WHEN 2 THEN 'repeated_words' WHEN 4 THEN 'symbols' WHEN 8 THEN 'repeated_lines' WHEN 16 THEN 'shouting' WHEN 32 THEN 'long_words' END AS only_rule,
+  CASE WHEN bit_count(fail_bits) = 1 THEN count(*) OVER (PARTITION BY fail_bits) END AS n_only FROM bits
 """
 
 OP10_SQL = """
