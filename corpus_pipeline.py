@@ -1,4 +1,7 @@
-"""The corpus pipeline: stages over the documents, each written as Parquet and read again as the next one's input."""
+"""The corpus pipeline: stages over the documents, each written as Parquet and read again as the next one's input.
+
+Defined cases: a null, empty or short text fails the quality rules and goes; rows without a doc_id stay, as no component can name them, and are mixed like others; of rows that repeat a
+doc_id one stays; a null source is a source; further columns pass through to the last stage, which returns its own columns; an empty table gives no rows."""
 
 from __future__ import annotations
 
@@ -7,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from recordloom.llm import mixing, ngram_join, pieces, quality
-from recordloom.llm.common import documents, stored
+from recordloom.llm.common import documents, release, stored
 from recordloom.llm.queries import tokenizer_file
 
 
@@ -43,7 +46,10 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage. A stage's input is deleted once its result is written."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        kept = stored(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        release(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
