@@ -9,6 +9,7 @@ segment of many blocks, so that only the text itself bounds memory.
 
 from __future__ import annotations
 
+import codecs
 import functools
 import os
 import re
@@ -30,24 +31,39 @@ MAX_BITS = 16
 #: The pattern by which byte-level BPE cuts a text, for texts of SAFE characters only, where Python's classes agree with Unicode's.
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?[0-9]+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 UNSAFE = re.compile("[^\t\n\r -~\u00a0-\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u024f]")
+PLAIN = b"\t\n\r" + bytes(range(32, 127))  # what is safe of ASCII
 SPECIAL = "<|endoftext|>"
 #: A space before a space or a line's end, and these others anywhere, belong to a run that is cut as a whole.
 MARKS = tuple(".,;:!?")
 LOOSE = ("  ", " \n", "\t", "\r", "\u00a0")
 
 
+def byte_letters() -> str:
+    """The letters by which byte-level vocabularies write the 256 bytes: printable Latin-1 characters stand for themselves, the others for characters from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in plain]
+    return "".join(chr(b) if b in plain else chr(256 + rest.index(b)) for b in range(256))
+
+
 class WordCache:
     """Ids of whole texts from the tokenizers library, which is asked once for each distinct piece. A text is cut at its spaces; a unit, the space with what follows it, is
-    encoded with other new units in one call, a line each. Merges reach across neither a space nor a line's end, so the ids are those of the whole text."""
+    encoded with other new units in one call, a line each. Merges reach across neither a space nor a line's end, so the ids are those of the whole text. Units of letters are one
+    piece each, so the library's model gets them without its search for pieces."""
 
     MOST = 700_000
 
     def __init__(self, path: str, dtype: type):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.encoder, self.dtype = Tokenizer.from_file(path), dtype
-        self.units: dict[str, bytes] = {}
+        self.byte_letters = byte_letters()
+        model = Tokenizer.from_file(path).model
+        if hasattr(model, "_resize_cache"):
+            model._resize_cache(0)  # each word comes once
+        self.of_letters = Tokenizer(model)  # no merge joins a letter and a line's end, as the vocabulary's own pieces part them; lines() counts the ends
+        self.of_letters.pre_tokenizer = pre_tokenizers.Split(self.byte_letters[10], "merged_with_previous")
+        self.units: dict[str, bytes] = {"": b""}
         self.pieces: dict[str, bytes] = {}
         self.marks = dict(zip(MARKS, self.whole(list(MARKS)), strict=True))
         self.line_end = self.encoder.encode("\n", add_special_tokens=False).ids
@@ -55,12 +71,16 @@ class WordCache:
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.encoder.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def lines(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, none of which holds a line's end or begins or ends a run of spaces."""
-        groups = [texts[i : i + 2000] for i in range(0, len(texts), 2000)]
+    def lines(self, texts: list[str], letters: bool = False) -> list[bytes]:
+        """Ids of each text, none of which holds a line's end or begins or ends a run of spaces. letters: each is letters alone, behind a space at most."""
         out: list[bytes] = []
-        for group, e in zip(groups, self.encoder.encode_batch_fast(["\n".join(g) + "\n" for g in groups], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, self.dtype)
+        encoder = self.of_letters if letters else self.encoder
+        for i in range(0, len(texts), 2000):
+            group = texts[i : i + 2000]
+            joined = "\n".join(group) + "\n"
+            if letters:
+                joined = codecs.charmap_decode(joined.encode(), "strict", self.byte_letters)[0]
+            ids = np.array(encoder.encode_batch_fast([joined], add_special_tokens=False)[0].ids, self.dtype)
             ends = np.flatnonzero(ids == self.line_end[0])
             if len(self.line_end) != 1 or len(ends) != len(group):
                 out.extend(self.whole(group))
@@ -73,47 +93,61 @@ class WordCache:
     def of_pieces(self, texts: list[str]) -> list[bytes]:
         """Texts of safe characters, piece by piece."""
         found = [PIECES.findall(x) for x in texts]
-        new = [p for p in {p for x in found for p in x} if p not in self.pieces]
-        line = [p for p in new if not p.isspace()]
-        self.pieces.update(zip(line, self.lines(line), strict=True))
-        space = [p for p in new if p.isspace()]
-        self.pieces.update(zip(space, self.whole(space), strict=True))
+        new = {p for x in found for p in x}.difference(self.pieces)
+        kinds: tuple[list[str], list[str], list[str]] = ([], [], [])
+        for p in new:
+            kinds[0 if p.lstrip(" ").isalpha() else 2 if p.isspace() else 1].append(p)
+        self.pieces.update(zip(kinds[0], self.lines(kinds[0], letters=True), strict=True))
+        self.pieces.update(zip(kinds[1], self.lines(kinds[1]), strict=True))
+        self.pieces.update(zip(kinds[2], self.whole(kinds[2]), strict=True))
         known = self.pieces.__getitem__
         return [b"".join(map(known, x)) for x in found]
 
+    def learn(self, new: set[str]) -> None:
+        """Ids of new units: letters; letters with a mark behind them, which is a piece of its own; anything else of one line; what holds a line's end."""
+        letters, marked, lines, broken = set(), [], [], []
+        for u in new:
+            if u.isalpha():
+                letters.add(u)
+            elif u[-1:] in self.marks and u[:-1].isalpha():
+                marked.append(u)
+            elif "\n" in u:
+                broken.append(u)
+            else:
+                lines.append(u)
+        letters.update([u[:-1] for u in marked])
+        stems = list(letters.difference(self.units))
+        units, mark = self.units, self.marks
+        units.update(zip(stems, self.lines([" " + u for u in stems], letters=True), strict=True))
+        for u in marked:
+            units[u] = units[u[:-1]] + mark[u[-1]]
+        units.update(zip(lines, self.lines([" " + u for u in lines]), strict=True))
+        units.update(zip(broken, self.of_pieces([" " + u for u in broken]), strict=True))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.units) > self.MOST:
-            self.units.clear()
+            self.units = {"": b""}
         if len(self.pieces) > self.MOST // 4:
             self.pieces.clear()
         out: list[bytes | None] = [None] * len(texts)
         cut: dict[int, list[str]] = {}
         loose: list[int] = []
         for i, x in enumerate(texts):
-            if SPECIAL in x or UNSAFE.search(x):
+            if SPECIAL in x or (x.encode().translate(None, PLAIN) if x.isascii() else UNSAFE.search(x)):
                 continue
             if x[-1:] == " " or any(c in x for c in LOOSE):
                 loose.append(i)
             else:
                 cut[i] = x.split(" ")
+        firsts = self.of_pieces([x[0] for x in cut.values()])
         met: set[str] = set()
         for x in cut.values():
-            met.update(x[1:])
-        units, mark = self.units, self.marks
-        new = [u for u in met if u not in units]
-        marked = [u for u in new if u[-1:] in mark and u[-2:-1].isalpha() and "\n" not in u]  # a mark behind a letter is a piece of its own
-        plain = {u[:-1] for u in marked}
-        plain.update(u for u in new if "\n" not in u)
-        plain.difference_update(marked)
-        fresh = [u for u in plain if u not in units]
-        units.update(zip(fresh, self.lines([" " + u for u in fresh]), strict=True))
-        for u in marked:
-            units[u] = units[u[:-1]] + mark[u[-1]]
-        broken = [u for u in new if "\n" in u]
-        units.update(zip(broken, self.of_pieces([" " + u for u in broken]), strict=True))
-        unit = units.__getitem__
-        for (i, x), first in zip(cut.items(), self.of_pieces([x[0] for x in cut.values()]), strict=True):
-            out[i] = first + b"".join(map(unit, x[1:]))
+            x[0] = ""  # the first has no space before it; no other unit is empty, as runs of spaces are loose
+            met.update(x)
+        self.learn(met.difference(self.units))
+        unit = self.units.__getitem__
+        for (i, x), first in zip(cut.items(), firsts, strict=True):
+            out[i] = first + b"".join(map(unit, x))
         for i, ids in zip(loose, self.of_pieces([texts[i] for i in loose]), strict=True):
             out[i] = ids
         rest = [i for i, x in enumerate(out) if x is None]
@@ -168,8 +202,8 @@ def _tokenised(path: str, wide: bool):
 def tokenised(docs: DataFrame, path: str, wide: bool = False) -> DataFrame:
     """Segments of raw ids in ascending order of doc_id: (part, seq) is that order. wide: for vocabularies of over 65,536 ids."""
     text = F.col("text")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("c"))
-    order = [F.col("doc_id").asc_nulls_first(), F.col("c")]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("c"), F.monotonically_increasing_id().alias("at"))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("c"), F.col("at")]  # at: many equal rows are dealt to many tasks
     return rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(_tokenised(path, wide), RAW)
 
 

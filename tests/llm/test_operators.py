@@ -313,6 +313,21 @@ def test_token_stream(spark, odd):
     assert tokens.round_trip(empty(spark), path).count() == 0
 
 
+def test_word_cache_as_the_library():
+    from tokenizers import Tokenizer
+
+    path, rng = tokenizer_file("byte_bpe_50k.json"), random.Random(5)
+    plain, cache = Tokenizer.from_file(path), tokens.WordCache(path, np.uint16)
+    pool = [*"abcdeizTHE  '.,;:!?\n\t\r-_#0123456789éßñÀžƀɏª µº¼²日本👍\u2028\u3000\x00\x85½/()\"", " the", "ing", "'s", "'ll", " \n", "  ", "\n\n", tokens.SPECIAL]
+    for k in range(60):
+        cache.MOST = 500 if k % 2 else 10**6  # with and without forgetting
+        texts = ["".join(rng.choice(pool) for _ in range(rng.randrange(30))) for _ in range(256)]
+        if k % 3 == 0:
+            texts = [" ".join("".join(rng.choice("abehrstéñß") for _ in range(rng.randrange(1, 9))) + rng.choice(["", ",", ".", "\n", "'s", "1", " "]) for _ in range(rng.randrange(8))) for _ in range(256)]
+        for text, got, want in zip(texts, cache.encode(texts), plain.encode_batch(texts, add_special_tokens=False), strict=True):
+            assert np.frombuffer(got, np.uint16).tolist() == want.ids, text
+
+
 def test_huffman_lengths_are_best():
     import heapq
 
