@@ -79,6 +79,25 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
         "Available under the Creative Commons Attribution NonCommercial License.",
     ),
+    "cc-by-nd": (
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+        "Available under the Creative Commons Attribution NoDerivs License.",
+    ),
+    "epl": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+        "Licensed under the EPL 2.0.",
+        "Released under the Eclipse Public License.",
+    ),
+    "isc": (
+        "Licensed under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+        "Released under the ISC license.",
+    ),
+    "boost": (
+        "Distributed under the Boost Software License, Version 1.0.",
+        "Licensed under the Boost Software License.",
+    ),
     "public-domain": (
         "Dedicated to the public domain under CC0 1.0.",
         "This is free and unencumbered software released into the public domain.",
@@ -99,6 +118,7 @@ ORDINARY = (
     "Public libraries are free for any person.", "The foundation was published by the press.", "Her attribution of the painting was wrong.", "The international version is sold in France.", "The domain of the function is public knowledge.",
     "Software and documentation were delivered late.", "You may not use the lift in a fire.", "Terms and conditions of trade were discussed.", "Confidential talks were held on the copying of art.", "No part of the road may be closed without notice.",
     "The licensed practitioner saw twenty patients.", "Version two of the play was released on Friday.", "The works of Shakespeare are performed here.", "This library opens at nine and the source of the river is near.", "The holder of the cup won again.",
+    "Driving license needed for this job.", "The eclipse was seen by the public of the whole country.", "A boost of the program was granted for any purpose.", "Any person may distribute the fee among the members.",
     "Mozilla was the name of a lizard in the story.", "A lesser known general signed the public letter.",
 )
 COMMON = frozenset(
@@ -107,6 +127,7 @@ COMMON = frozenset(
 )
 VARIANTS = 40
 HELD_OUT = 5
+MOST_UNSEEN = 0.1
 NAMES = ("Acme Corp", "the authors", "Jane Doe", "Example GmbH", "the project contributors", "Smith & Sons")
 
 
@@ -158,39 +179,56 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
+def _fitted(x: np.ndarray, y: np.ndarray, n_classes: int, l1: float, rounds: int) -> np.ndarray:
+    """Weights of a multinomial logistic regression with an L1 penalty by accelerated proximal steps; classes weigh alike. The last row is the bias."""
+    want = np.eye(n_classes)[y]
+    share = np.array([1 / max(1, (y == c).sum()) for c in range(n_classes)])[y][:, None] * len(y) / n_classes
+    w = v = np.zeros((x.shape[1], n_classes))
+    step, t = 1.0 / (0.5 * (x * x).sum(1).max() * share.max()) * 4, 1.0
+    for _ in range(rounds):
+        g = x.T @ ((_softmax(x @ v) - want) * share) / len(y)
+        new = v - step * g
+        new[:-1] = np.sign(new[:-1]) * np.maximum(np.abs(new[:-1]) - step * l1, 0)
+        t, was = (1 + (1 + 4 * t * t) ** 0.5) / 2, t
+        v, w = new + (was - 1) / t * (new - w), new
+    w[-1, 0] = max(w[-1, 0], w[-1, 1:].max() + 2.0)  # without any feature: none
+    return w
+
+
+def confirmed(words: list[str], family: str, known: frozenset, templates: dict[str, tuple[str, ...]] = TEMPLATES) -> bool:
+    """Whether at least half the anchored n-grams of some template of the family are among those of the words."""
+    have = set(features(words, known))
+    return any(2 * len(have.intersection(s)) >= len(s) > 0 for t in templates[family] for s in [features(tokens_of(t), known)])
+
+
 def train(seed: int = 7, l1: float = 2e-4, rounds: int = 400) -> Model:
-    """Multinomial logistic regression with an L1 penalty by accelerated proximal steps; one variant in HELD_OUT is kept for calibration."""
+    """Fits the classifier. One variant in HELD_OUT is kept, by which the logits are scaled. least, below which a licence is unknown, is the least bound that passes at most
+    MOST_UNSEEN of the notices of families that a fit has never seen: each family is left out once, and its notices are held against a fit of the others."""
     rng, anchors = random.Random(seed), anchor_words()
     known, classes = frozenset(anchors), ("none", *sorted(TEMPLATES))
     rows = [(_varied(t, rng) if v else t, classes.index(c), v) for c, x in TEMPLATES.items() for t in x for v in range(VARIANTS)]
     rows += [(_varied(t, rng) if v % 3 == 1 else t, 0, v) for t in ORDINARY for v in range(VARIANTS)]
-    # half a notice belongs to several families: such rows teach the classifier to be unsure, not a class
-    sets = [features(tokens_of(t), known) for t, _, _ in rows]
+    words = [tokens_of(t) for t, _, _ in rows]
+    sets = [features(w, known) for w in words]
     vocabulary = {g: i for i, g in enumerate(sorted({g for s in sets for g in s}))}
     x, y = np.zeros((len(rows), len(vocabulary) + 1)), np.array([c for _, c, _ in rows])
     x[:, -1] = 1
     for i, s in enumerate(sets):
         x[i, [vocabulary[g] for g in s]] = 1
     held = np.array([v % HELD_OUT == HELD_OUT - 1 for _, _, v in rows])
-    a, b = x[~held], y[~held]
-    want = np.eye(len(classes))[b]
-    share = np.array([1 / max(1, (b == c).sum()) for c in range(len(classes))])[b][:, None] * len(b) / len(classes)
-    w = v = np.zeros((x.shape[1], len(classes)))
-    step, t = 1.0 / (0.5 * (a * a).sum(1).max() * share.max()) * 4, 1.0
-    for _ in range(rounds):
-        g = a.T @ ((_softmax(a @ v) - want) * share) / len(b)
-        new = v - step * g
-        new[:-1] = np.sign(new[:-1]) * np.maximum(np.abs(new[:-1]) - step * l1, 0)
-        t, was = (1 + (1 + 4 * t * t) ** 0.5) / 2, t
-        v, w = new + (was - 1) / t * (new - w), new
-    w[-1, 0] = max(w[-1, 0], w[-1, 1:].max() + 2.0)  # without any feature: none
+    w = _fitted(x[~held], y[~held], len(classes), l1, rounds)
     logits, truth = x[held] @ w, y[held]
     scales = np.linspace(0.4, 4, 37)
     loss = [-np.log(np.maximum(_softmax(s * logits)[np.arange(len(truth)), truth], 1e-12)).mean() for s in scales]
     scale = float(scales[int(np.argmin(loss))])
-    p = _softmax(scale * logits)
-    sure, right = p.max(1), p.argmax(1) == truth
-    least = next((float(c) for c in np.linspace(0.4, 0.95, 12) if right[sure >= c].mean() >= 0.99), 0.95)
+    unseen, n_unseen = [], 0
+    for c in range(1, len(classes)):
+        fit = _fitted(x[~held & (y != c)][::3], y[~held & (y != c)][::3], len(classes), l1, rounds // 4)
+        own = np.flatnonzero(held & (y == c))
+        q = _softmax(scale * (x[own] @ fit))
+        n_unseen += len(own)
+        unseen += [float(row.max()) for i, row in zip(own, q, strict=True) if row.argmax() not in (0, c) and confirmed(words[i], classes[row.argmax()], known)]
+    least = next((float(c) for c in np.linspace(0.5, 0.98, 25) if sum(u >= c for u in unseen) <= MOST_UNSEEN * n_unseen), 0.98)
     kept = {g: tuple(float(f) for f in w[i]) for g, i in vocabulary.items() if np.abs(w[i]).max() > 0}
     return Model(classes, kept, tuple(float(f) for f in w[-1]), scale, least, anchors)
 
@@ -209,24 +247,41 @@ def _tokens(line: Column) -> Column:
     return F.regexp_extract_all(F.regexp_replace(F.lower(line), "[0-9]+", "0"), F.lit("([a-z0]+)"), 1)
 
 
-def _near(words: Column, model: Model) -> Column:
-    """The anchors of a paragraph with the word before and after each, which is all that n-grams with an anchor are made of; a bar for what is left out."""
-    anchor = "(?:" + "|".join(sorted(model.anchors, key=lambda x: (-len(x), x))) + ")(?![a-z0])"
-    pattern = f"(?<![a-z0])(?:[a-z0]+ )?{anchor}(?: (?:[a-z0]+ )?{anchor})*+(?: [a-z0]+)?"
-    return F.array_join(F.regexp_extract_all(words, F.lit(pattern), F.lit(0)), " | ")
+def any_of(words: tuple[str, ...]) -> str:
+    """A pattern for any of the words that tells them apart letter by letter, so that a place in a text is left at the first letter that begins none; 0 stands for digits."""
+    heads: dict[str, list[str]] = {}
+    for w in sorted(words):
+        heads.setdefault(w[:1], []).append(w[1:])
+    rest = [("[0-9]+" if h == "0" else h) + any_of(tuple(x)) for h, x in heads.items() if h]
+    return ("(?:" + "|".join(rest) + ")" + ("?" if "" in heads else "")) if rest else ""
+
+
+def _near(tokens: Column, model: Model) -> Column:
+    """The anchors among the tokens with the token before and after each, which is all that n-grams with an anchor are made of. Two tokens that meet where others are left out are
+    no anchors, so no n-gram of the vocabulary is made up."""
+    is_anchor = lambda t: F.coalesce(t.isin(*model.anchors), F.lit(False))
+    return F.filter(tokens, lambda t, i: is_anchor(t) | is_anchor(F.get(tokens, i - 1)) | is_anchor(F.get(tokens, i + 1)))
 
 
 def lines_of(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, code of the text, paragraph number, line number and words of each line that holds an anchor, and line 0 for each paragraph of several lines with one."""
-    gate = "(?i)(?<![a-z])(?:" + "|".join(sorted(model.anchors, key=lambda x: (-len(x), x))) + ")(?![a-z])"
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("code"), F.posexplode(F.split(text, r"\n(?:[^\S\n]*\n)+")).alias("paragraph", "block"))
-    rows = rows.where(F.col("block").rlike(gate))
-    rows = rows.select("doc_id", "code", "paragraph", F.posexplode(F.concat(F.array("block"), F.split("block", "\n"))).alias("at", "line"))
-    whole = F.col("at") == 0
-    rows = rows.where(F.when(whole, F.col("line").contains("\n")).otherwise(F.col("line").rlike(gate)))
-    words = F.array_join(_tokens(F.col("line")), " ")
-    return rows.select("doc_id", "code", "paragraph", "at", F.when(whole, _near(words, model)).otherwise(words).alias("words"))
+    """doc_id, code of the text, paragraph number, line number and the words near anchors of each line that holds an anchor, and line 0 for each paragraph of several lines with one.
+    A paragraph's words are those of its lines with anchors, each with the last word before and the first word after it; a bar parts lines."""
+    gate = f"(?i)(?<![a-z]){any_of(model.anchors)}(?![a-z])"
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").rlike(gate))
+    rows = rows.select("doc_id", F.xxhash64("text").alias("code"), F.posexplode(F.split("text", r"\n(?:[^\S\n]*\n)+")).alias("paragraph", "block"))
+    rows = rows.select("doc_id", "code", "paragraph", F.filter(F.split("block", "\n"), lambda x: x.rlike("[A-Za-z0-9]")).alias("lines"))
+    word = lambda at: F.regexp_extract(F.lower(at), "[a-z0-9]+", 0)
+    before = lambda i: F.when(i > 0, F.reverse(word(F.reverse(F.get("lines", i - 1))))).otherwise("")
+    after = lambda i: F.coalesce(word(F.get("lines", i + 1)), F.lit(""))
+    held = F.transform("lines", lambda x, i: F.when(x.rlike(gate), F.struct((i + 1).alias("at"), _tokens(x).alias("own"), _tokens(before(i)).alias("before"), _tokens(after(i)).alias("after"))))
+    rows = rows.select("doc_id", "code", "paragraph", (F.size("lines") > 1).alias("several"), F.filter(held, lambda x: x.isNotNull()).alias("held")).where(F.size("held") > 0)
+    one = F.transform("held", lambda x: F.struct(x["at"].alias("at"), F.array_join(_near(x["own"], model), " ").alias("words")))
+    with_ends = F.transform("held", lambda x: F.concat(x["before"], x["own"], x["after"]))
+    one = F.filter(one, lambda x: x["words"] != "")
+    rows = rows.select("doc_id", "code", "paragraph", "several", one.alias("one"), with_ends.alias("ends")).where(F.size("one") > 0)
+    whole = F.array_join(F.transform("ends", lambda x: F.array_join(_near(x, model), " ")), " | ")
+    whole = F.filter(F.array(F.struct(F.lit(0).alias("at"), whole.alias("words"))), lambda x: F.col("several"))
+    return rows.select("doc_id", "code", "paragraph", F.explode(F.concat(whole, "one")).alias("x")).select("doc_id", "code", "paragraph", "x.at", "x.words")
 
 
 def classified(words: DataFrame, model: Model) -> DataFrame:
@@ -235,7 +290,8 @@ def classified(words: DataFrame, model: Model) -> DataFrame:
     weights = spark.createDataFrame([(g, *w) for g, w in sorted(model.weights.items())], ", ".join(["gram string", *(f"w{i} double" for i in range(k))]))
     tokens = F.split("words", " ")
     pairs = F.when(F.size(tokens) > 1, F.transform(F.sequence(F.lit(1), F.size(tokens) - 1), lambda i: F.concat_ws(" ", F.element_at(tokens, i), F.element_at(tokens, i + 1)))).otherwise(F.array().cast("array<string>"))
-    grams = words.select("words").distinct().select("words", F.explode(F.array_distinct(F.concat(tokens, pairs))).alias("gram"))
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    grams = words.select("words").distinct().repartition(n).select("words", F.explode(F.array_distinct(F.concat(tokens, pairs))).alias("gram"))
     sums = grams.join(F.broadcast(weights), "gram").groupBy("words").agg(*[F.sum(f"w{i}").alias(f"w{i}") for i in range(k)])
     logits = F.array(*[F.lit(model.scale) * (F.col(f"w{i}") + model.bias[i]) for i in range(k)])
     scored = sums.select("words", logits.alias("z")).withColumn("m", F.array_max("z"))

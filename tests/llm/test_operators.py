@@ -475,6 +475,53 @@ def test_licences(spark, odd):
     assert licences.scan(empty(spark), model).count() == 0 and licences.scan(odd, model).count() == odd.count()
 
 
+def plain_scan(model, text):
+    """licence lines and families of a text, line by line."""
+    import re
+
+    known, out = frozenset(model.anchors), []
+    def family(words):
+        best, p = licences.predict(model, words)
+        if best == "none":
+            return None
+        return best if p >= model.least and licences.confirmed(licences.tokens_of(words), best, known) else "unknown"
+
+    for block in re.split(r"\n(?:[^\S\n]*\n)+", text or ""):
+        lines = block.split("\n")
+        own = {i: family(x) for i, x in enumerate(lines) if not known.isdisjoint(licences.tokens_of(x))}
+        found = {x for x in own.values() if x}
+        of_all = family(block) if len(lines) > 1 and own else None
+        more = of_all and (not found if of_all == "unknown" else of_all not in found)
+        out += [of_all if more and x in (None, "unknown") else x for x in own.values()]
+    return len([x for x in out if x]), sorted({x for x in out if x})
+
+
+def test_licences_as_the_plain_form(spark):
+    model, rng = licences.train(), random.Random(21)
+    pool = [t for x in licences.TEMPLATES.values() for t in x] + list(licences.ORDINARY) + ["Prose of no kind.", "", "  ", "er kam mit ihr mit", "GNU", "Licensed under the Microsoft Public License", "The Apache License", "public domain"]
+
+    def one():
+        words = " ".join(rng.choice(pool) for _ in range(rng.randrange(1, 8))).split(" ")
+        return "".join(w + rng.choice([" ", " ", " ", " ", " ", "\n", "\n\n", "\r\n", ", "]) for w in words)
+
+    texts = [one() for _ in range(250)] + ["mit " * 6000, "x " * 9000 + "Released under the MIT License.", None, ""]
+    got = {r["doc_id"]: r for r in rows_of(licences.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model))}
+    assert {i: (r["n_licence_lines"], r["families"]) for i, r in got.items()} == {i: plain_scan(model, t) for i, t in enumerate(texts)}
+
+
+def test_licences_of_unseen_families(monkeypatch):
+    """A family that training never met is mostly told as unknown or none, by the bound that other left-out families give."""
+    templates, passed, total = dict(licences.TEMPLATES), 0, 0
+    for gone in ("epl", "isc", "mpl", "boost", "bsd"):
+        monkeypatch.setattr(licences, "TEMPLATES", {k: v for k, v in templates.items() if k != gone})
+        model = licences.train()
+        for t in templates[gone]:
+            best, p = licences.predict(model, t)
+            total += 1
+            passed += best != "none" and p >= model.least and licences.confirmed(licences.tokens_of(t), best, frozenset(model.anchors), licences.TEMPLATES)
+    assert passed <= 0.15 * total
+
+
 def test_licences_of_wrapped_notices(spark):
     mit = "Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software and associated documentation\nfiles, to deal in the Software without restriction."
     bsd = "Redistribution and use in source and binary forms, with or\r\nwithout modification, are permitted provided that the following\r\nconditions are met."
