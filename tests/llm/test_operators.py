@@ -475,6 +475,30 @@ def test_licences(spark, odd):
     assert licences.scan(empty(spark), model).count() == 0 and licences.scan(odd, model).count() == odd.count()
 
 
+def test_trees_that_are_deep_or_wide():
+    import time
+
+    began = time.time()
+    deep = "<div class=post>" * 8000 + "{}" + "</div>" * 8000
+    a, b = (html_text.tree_of(html_text.parse(deep.format(x))) for x in ("one", "two"))
+    assert html_text.aligned(a, b)[0] == len(list(html_text.nodes_of(a))) > 8000
+    assert html_text.extract(deep.format("text")) == "text" and html_text.extract("<main>" * 3000 + "<article>x") == "x"
+    rng = random.Random(4)
+    item = lambda i: f"<li>{i}<p>{i % 7}</p>" + "<b>x</b><div>y</div>" * rng.randrange(3)
+    a, b = (html_text.tree_of(html_text.parse("<body><ul>" + "".join(item(i) for i in range(k, 3000 + k)) + "</ul>")) for k in (0, 5))
+    assert html_text.aligned(a, b)[0] > 0.8 * len(list(html_text.nodes_of(a)))
+    c, d = (html_text.tree_of(html_text.parse("<body>" + "".join(f"<p>{rng.random()}" * (1 + i % 2) + "<div>z</div>" for i in range(n)))) for n in (9000, 8000))
+    assert html_text.aligned(c, d)[0] > 8000 and time.time() - began < 60
+
+
+def test_html_of_deep_pages(spark):
+    deep = "<body>" + "<div>" * 2500 + "<p>Same on all</p><p>{}</p>"
+    inside = "<body><article>" + "<div>" * 500 + "<p>Same on all</p><p>{}</p>"
+    assert texts_of(spark, [inside.format(prose(random.Random(i), 40)) for i in range(6)]) == [prose(random.Random(i), 40) for i in range(6)]
+    assert texts_of(spark, [deep.format(f"own words of page {i}") for i in range(6)]) == [f"own words of page {i}" for i in range(6)]
+    assert texts_of(spark, ["<body><p>The only page"]) == ["The only page"] and texts_of(spark, ["<body><p>All the same"] * 9) == ["All the same"] * 9
+
+
 def plain_scan(model, text):
     """licence lines and families of a text, line by line."""
     import re
