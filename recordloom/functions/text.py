@@ -45,6 +45,11 @@ def norm_text(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(x, "[^0-9a-z ]+", " "), " +", " "))
 
 
+def number_of(c: Column) -> Column:
+    """32 bits of a text's MD5, which any engine can compute."""
+    return F.conv(F.substring(F.md5(c), 1, 8), 16, 10).cast("long")
+
+
 def words(c: Column) -> Column:
     return F.filter(F.split(c, " "), lambda t: t != "")
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .postings import rarest
+from .postings import ONE, rarest
 
 PRIME = (1 << 31) - 1
 
@@ -31,7 +31,7 @@ def top_cosine(postings: DataFrame, placed: DataFrame, k: int, least: float = 0.
     rows = postings.select("entity_id", "gram", "w").join(placed, "entity_id")
     a = rows.where("source = 1").select(F.col("entity_id").alias("q"), "block", "gram", F.col("w").alias("wa"))
     b = rows.where("source > 1").select(F.col("entity_id").alias("t"), "block", "gram", F.col("w").alias("wb"))
-    dots = a.join(b, ["block", "gram"]).groupBy("q", "t").agg(F.round(F.sum(F.col("wa") * F.col("wb")), 9).alias("score")).where(F.col("score") >= least)
+    dots = a.join(b, ["block", "gram"]).groupBy("q", "t").agg((F.sum(F.col("wa") * F.col("wb")) / float(ONE * ONE)).alias("score")).where(F.col("score") >= least)
     best = W.partitionBy("q").orderBy(F.desc("score"), "t")
     return dots.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k).drop("r")
 
@@ -40,8 +40,8 @@ def pair_cosine(pairs: DataFrame, postings: DataFrame, name: str) -> DataFrame:
     """pairs (q, t) with the exact cosine, 0 where nothing is shared. Each record's weights are one map, so pairs meet rows, not postings."""
     maps = postings.groupBy("entity_id").agg(F.map_from_entries(F.collect_list(F.struct("gram", "w"))).alias("m"))
     both = pairs.join(maps.select(F.col("entity_id").alias("q"), F.col("m").alias("ma")), "q", "left").join(maps.select(F.col("entity_id").alias("t"), F.col("m").alias("mb")), "t", "left")
-    dot = F.aggregate(F.array_intersect(F.map_keys("ma"), F.map_keys("mb")), F.lit(0.0), lambda s, g: s + F.col("ma")[g] * F.col("mb")[g])
-    return both.withColumn(name, F.coalesce(F.round(dot, 9), F.lit(0.0))).drop("ma", "mb")
+    dot = F.aggregate(F.array_intersect(F.map_keys("ma"), F.map_keys("mb")), F.lit(0).cast("long"), lambda s, g: s + F.col("ma")[g] * F.col("mb")[g])
+    return both.withColumn(name, F.coalesce(dot / float(ONE * ONE), F.lit(0.0))).drop("ma", "mb")
 
 
 def record_keys(weighted: DataFrame) -> DataFrame:
@@ -68,11 +68,6 @@ def key_pairs(keys: DataFrame, placed: DataFrame, cap: int = 100) -> DataFrame:
     return a.join(b, ["block", "key"]).select("q", "t").distinct()
 
 
-def gram_number(g: Column) -> Column:
-    """32 bits of a gram's MD5, which any engine can compute."""
-    return F.conv(F.substring(F.md5(g), 1, 8), 16, 10).cast("long")
-
-
 def coefficients(n: int, seed: int) -> list[tuple[int, int]]:
     """Pairs (a, b) of n affine hash functions modulo PRIME, by a linear rule from the seed."""
     out, x = [], seed * 2654435761 % PRIME + 1
@@ -85,7 +80,7 @@ def coefficients(n: int, seed: int) -> list[tuple[int, int]]:
 
 def band_keys(canon: DataFrame, text: str, bands: int, rows: int, seed: int, sizes: tuple[int, ...] = (3, 4)) -> DataFrame:
     """entity_id, source, key for every MinHash band of the record's set of grams; records without text have none."""
-    grams = F.transform(F.array_distinct(T.char_grams(F.col(text), sizes)), gram_number)
+    grams = F.transform(F.array_distinct(T.char_grams(F.col(text), sizes)), T.number_of)
     sets = canon.select("entity_id", "source", grams.alias("g")).where("size(g) > 0")
     coefs = coefficients(bands * rows, seed)
 
@@ -102,7 +97,7 @@ def top_scored(pairs: DataFrame, score: str, k: int) -> DataFrame:
     return pairs.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k).drop("r")
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int, part: int = 2000) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int, part: int = 2000, kind: str = "long") -> DataFrame:
     """q, t, score: the k largest inner products of normalised vectors (id, v), exact. queries is a stated set of rows, met by all rows in blocks: parts of about part queries
     meet parts of about part rows as one matrix product, and each block passes on its best k of a query."""
     import numpy as np
@@ -110,7 +105,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, part: int = 2000) ->
 
     n, m = max(1, -(-vectors.count() // part)), max(1, -(-queries.count() // part))
     side = lambda df, other, mine, name: df.select(
-        F.explode(F.sequence(F.lit(0), F.lit(other - 1))).alias("o"), F.pmod(F.xxhash64("id"), F.lit(mine)).cast("int").alias(name), "id", F.transform("v", lambda x: x.cast("double")).alias("v")
+        F.explode(F.sequence(F.lit(0), F.lit(other - 1))).alias("o"), F.pmod(F.xxhash64("id"), F.lit(mine)).cast("int").alias(name), F.col("id").alias("id"), F.transform("v", lambda x: x.cast("double")).alias("v")
     )
     a = side(queries, n, m, "i").select("i", F.col("o").alias("j"), "id", "v")
     b = side(vectors, m, n, "j").select(F.col("o").alias("i"), "j", "id", "v")
@@ -128,7 +123,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, part: int = 2000) ->
             out.append(pd.DataFrame({"q": q, "t": ts[best], "score": row[best]}))
         return pd.concat(out)
 
-    blocks_ = a.groupBy("i", "j").cogroup(b.groupBy("i", "j")).applyInPandas(product, "q long, t long, score double")
+    blocks_ = a.groupBy("i", "j").cogroup(b.groupBy("i", "j")).applyInPandas(product, f"q {kind}, t {kind}, score double")
     return top_scored(blocks_, "score", k)
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 
+ONE = 1 << 30  # the length of a record's weights, in the units they are stored in
+
 
 def all_tokens() -> Column:
     return F.array_distinct(F.concat(T.words(F.col("name_n")), T.words(F.col("addr_n"))))
@@ -35,11 +37,11 @@ def rarest(tokens: Column, w: Column) -> Column:
 
 
 def gram_postings(canon: DataFrame, text: str, sizes: tuple[int, ...] = (3, 4)) -> DataFrame:
-    """entity_id, source, country_n, gram, w: sublinear counts times ln((1 + N) / (1 + df)) + 1, rows of length 1. N counts all records, those without text too. The number of records is
-    one value, joined as a scalar subquery is."""
+    """entity_id, source, country_n, gram, w: sublinear counts times ln((1 + N) / (1 + df)) + 1, rows of length ONE, as whole numbers, so that sums don't depend on their order. N counts all
+    records, those without text too; it is one row, joined to the counts."""
     tf = canon.select("entity_id", "source", "country_n", F.explode(T.char_grams(F.col(text), sizes)).alias("gram")).groupBy("entity_id", "source", "country_n", "gram").agg(F.count(F.lit(1)).alias("tf"))
     df = tf.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    n = canon.count()
-    raw = tf.join(df, "gram").withColumn("u", (1 + F.log("tf")) * (F.log((1.0 + n) / (1 + F.col("df"))) + 1))
+    df = df.join(canon.agg(F.count(F.lit(1)).alias("n")), F.lit(True))
+    raw = tf.join(df, "gram").withColumn("u", (1 + F.log("tf")) * (F.log((1.0 + F.col("n")) / (1 + F.col("df"))) + 1))
     norm = raw.groupBy("entity_id").agg(F.sqrt(F.sum(F.col("u") * F.col("u"))).alias("norm"))
-    return raw.join(norm, "entity_id").select("entity_id", "source", "country_n", "gram", (F.col("u") / F.col("norm")).alias("w"))
+    return raw.join(norm, "entity_id").select("entity_id", "source", "country_n", "gram", F.round(F.col("u") / F.col("norm") * ONE).cast("long").alias("w"))

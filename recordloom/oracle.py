@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .functions import text as T
 from .operators.blocking import VIEWS, coefficients
+from .operators.postings import ONE
 from .queries import CFG, NONE_PE, SET_FEATURES, STRUCTURE_FEATURES
 from .sources import synth
 
@@ -42,18 +43,18 @@ def grams(text: str, name: str) -> dict[str, str]:
               SELECT entity_id, source, country_n, ' ' || unnest({words(text)}) || ' ' AS p FROM canon) CROSS JOIN (SELECT unnest([3, 4]) AS n)) GROUP BY ALL""",
         f"u_{name}": f"""SELECT t.*, (1 + ln(tf)) * (ln((1.0 + (SELECT count(*) FROM canon)) / (1 + df)) + 1) AS u
             FROM tf_{name} t JOIN (SELECT gram, count(*) AS df FROM tf_{name} GROUP BY gram) d ON d.gram = t.gram""",
-        f"post_{name}": f"SELECT entity_id, source, country_n, gram, u / sqrt(sum(u * u) OVER (PARTITION BY entity_id)) AS w FROM u_{name}",
+        f"post_{name}": f"SELECT entity_id, source, country_n, gram, CAST(round(u / sqrt(sum(u * u) OVER (PARTITION BY entity_id)) * {ONE}) AS BIGINT) AS w FROM u_{name}",
     }
 
 
 def top(name: str, k: int) -> str:
     return f"""SELECT q, t, score FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, t) AS r FROM (
-        SELECT a.entity_id AS q, b.entity_id AS t, round(sum(a.w * b.w), 9) AS score FROM post_{name} a JOIN post_{name} b ON a.country_n = b.country_n AND a.gram = b.gram AND a.source = 1 AND b.source > 1
+        SELECT a.entity_id AS q, b.entity_id AS t, CAST(CAST(sum(a.w * b.w) AS BIGINT) AS DOUBLE) / {float(ONE * ONE)!r} AS score FROM post_{name} a JOIN post_{name} b ON a.country_n = b.country_n AND a.gram = b.gram AND a.source = 1 AND b.source > 1
         GROUP BY 1, 2) WHERE score >= {CFG.threshold}) WHERE r <= {k}"""
 
 
 def pair_cosine(pairs: str, name: str, out: str) -> str:
-    return f"""SELECT p.*, coalesce(round(s.v, 9), 0) AS {out} FROM {pairs} p LEFT JOIN (
+    return f"""SELECT p.*, coalesce(CAST(CAST(s.v AS BIGINT) AS DOUBLE) / {float(ONE * ONE)!r}, 0) AS {out} FROM {pairs} p LEFT JOIN (
         SELECT p.q, p.t, sum(a.w * b.w) AS v FROM {pairs} p JOIN post_{name} a ON a.entity_id = p.q JOIN post_{name} b ON b.entity_id = p.t AND a.gram = b.gram GROUP BY 1, 2) s ON s.q = p.q AND s.t = p.t"""
 
 
@@ -89,7 +90,8 @@ CHAIN: dict[str, str] = {
     **grams("name_n", "name"),
     **grams("full_n", "full"),
     "npairs": top("name", CFG.k_name),
-    "views": "SELECT q, t, max(n) AS found_name, max(k) AS found_key FROM (SELECT q, t, 1 AS n, 0 AS k FROM npairs UNION ALL SELECT q, t, 0, 1 FROM kpairs) GROUP BY 1, 2",
+    "fpairs": top("full", CFG.k_full),
+    "views": "SELECT q, t, max(n) AS found_name, max(f) AS found_full, max(k) AS found_key FROM (SELECT q, t, 1 AS n, 0 AS f, 0 AS k FROM npairs UNION ALL SELECT q, t, 0, 1, 0 FROM fpairs UNION ALL SELECT q, t, 0, 0, 1 FROM kpairs) GROUP BY 1, 2",
     "cands": "SELECT q, t FROM views",
     "scored": pair_cosine("cands", "name", "p1"),
     "cos1": pair_cosine("cands", "name", "cos_name"),
@@ -190,8 +192,8 @@ _PREFIX = """round(CASE WHEN greatest(length(a.nospace), length(b.nospace)) = 0
     if substring(a.nospace, 1, i) = substring(b.nospace, 1, i)]) AS DOUBLE) / greatest(length(a.nospace), length(b.nospace)) END, 6)"""
 _JW = lambda c: f"round(CASE WHEN a.{c} = '' AND b.{c} = '' THEN 1.0 ELSE jaro_winkler_similarity(a.{c}, b.{c}) END, 6)"
 
-_KEPT5 = "SELECT q, t, round(p1, 6) AS p FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY p1 DESC, t) AS r FROM scored WHERE p1 >= 0.3) WHERE r <= 5"
-#: All sets of true candidates are listed, 2**5 at most, and every prefix of the answer is held against each.
+_KEPT = f"SELECT q, t, round(p1, 6) AS p FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY p1 DESC, t) AS r FROM scored WHERE p1 >= 0.3) WHERE r <= {CFG.kmax}"
+#: All sets of true candidates are listed, 2**kmax at most, and every prefix of the answer is held against each.
 _EXPECTED = f"""
 SELECT q, t FROM (
   SELECT c.q, c.t, c.r, e.k FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY pt DESC, t) AS r FROM clipped) c JOIN (
@@ -199,13 +201,85 @@ SELECT q, t FROM (
       SELECT s.q, s.n, k, CASE WHEN s.n = 1 THEN 1 - {NONE_PE} ELSE sum(s.prob * {1 + CFG.beta**2} * bit_count(s.m & ((1 << k) - 1)) / ({CFG.beta**2} * bit_count(s.m) + k)) * (1 - {NONE_PE}) / max(s.some) END AS ef
       FROM (
         SELECT l.q, l.n, m.m, 1 - list_product([1 - x for x in l.ps]) AS some, list_product([CASE WHEN (m.m >> (i - 1)) & 1 = 1 THEN l.ps[i] ELSE 1 - l.ps[i] END for i in range(1, l.n + 1)]) AS prob
-        FROM (SELECT q, CAST(count(*) AS BIGINT) AS n, list(pt ORDER BY pt DESC, t) AS ps FROM clipped GROUP BY q) l JOIN (SELECT unnest(range(0, 32)) AS m) m ON m.m < (1 << l.n)) s
-      JOIN (SELECT unnest(range(1, 6)) AS k) ON k <= s.n GROUP BY 1, 2, 3) GROUP BY 1, 2) e ON e.q = c.q
+        FROM (SELECT q, CAST(count(*) AS BIGINT) AS n, list(pt ORDER BY pt DESC, t) AS ps FROM clipped GROUP BY q) l JOIN (SELECT unnest(range(0, {1 << CFG.kmax})) AS m) m ON m.m < (1 << l.n)) s
+      JOIN (SELECT unnest(range(1, {CFG.kmax + 1})) AS k) ON k <= s.n GROUP BY 1, 2, 3) GROUP BY 1, 2) e ON e.q = c.q
   WHERE least(1.0, {NONE_PE}) < e.ef) WHERE r <= k"""
 
-_HITS = "SELECT v.*, CASE WHEN y.s1_id IS NULL THEN 0 ELSE 1 END AS y FROM views v LEFT JOIN (SELECT DISTINCT s1_id, t_id FROM truth) y ON y.s1_id = v.q AND y.t_id = v.t"
 _BY_Q, _BY_T = "OVER (PARTITION BY q ORDER BY p1 DESC, t)", "OVER (PARTITION BY t ORDER BY p1 DESC, q)"
 
+# Longest common subsequences, a bit for each place of the first text: masks of the second text's letters, folded by one addition and subtraction each. No text has over 120 characters.
+_FULL = lambda x: f"((1::HUGEINT << length({x})) - 1)"
+_MASKS = lambda x, y: f"[list_sum([CASE WHEN substring({x}, i, 1) = substring({y}, j, 1) THEN 1::HUGEINT << (i - 1)::INT ELSE 0::HUGEINT END for i in range(1, length({x}) + 1)])::HUGEINT for j in range(1, length({y}) + 1)]"
+
+
+def _lcs(masks: str, full: str, n: str) -> str:
+    return f"({n} - bit_count(list_reduce(list_prepend({full}, {masks}), lambda s, m: ((s + (s & m)) | (s - (s & m))) & {full}) & {full}))"
+
+
+def _indel_tables(name: str, source: str, x: str, y: str) -> str:
+    """Table name (x, y, v): the normalised indel similarity of the distinct pairs of source."""
+    return f"""{name}_d AS MATERIALIZED (SELECT DISTINCT {x} AS x, {y} AS y FROM {source}),
+{name}_m AS MATERIALIZED (SELECT x, y, {_FULL('x')} AS f, CASE WHEN x <> '' AND y <> '' THEN {_MASKS('x', 'y')} ELSE [] END AS ms FROM {name}_d),
+{name} AS MATERIALIZED (SELECT x, y, CASE WHEN x = '' AND y = '' THEN 1.0 WHEN x = '' OR y = '' THEN 0.0 ELSE 2.0 * {_lcs('ms', 'f', 'length(x)')} / (length(x) + length(y)) END AS v FROM {name}_m)"""
+
+
+def _token_set_tables(name: str, source: str, x: str, y: str) -> str:
+    """Table name (x, y, v): the token-set ratio of the distinct pairs of source."""
+    return f"""{name}_p AS MATERIALIZED (SELECT x, y, array_to_string(list_sort(list_intersect(a, b)), ' ') AS shared, array_to_string(list_sort([w for w in a if NOT list_contains(b, w)]), ' ') AS ox,
+  array_to_string(list_sort([w for w in b if NOT list_contains(a, w)]), ' ') AS oy, len(a) > 0 AND len(b) > 0 AS filled FROM (
+  SELECT x, y, list_distinct({words('x')}) AS a, list_distinct({words('y')}) AS b FROM (SELECT DISTINCT {x} AS x, {y} AS y FROM {source}))),
+{name}_s AS MATERIALIZED (SELECT *, CASE WHEN shared = '' THEN ox ELSE shared || ' ' || ox END AS l, CASE WHEN shared = '' THEN oy ELSE shared || ' ' || oy END AS r FROM {name}_p),
+{_indel_tables(f'{name}_i', f"{name}_s WHERE filled AND NOT (shared <> '' AND (ox = '' OR oy = ''))", 'l', 'r')},
+{name} AS MATERIALIZED (SELECT s.x, s.y, CASE WHEN NOT filled THEN 0.0 WHEN shared <> '' AND (ox = '' OR oy = '') THEN 1.0 WHEN shared = '' THEN i.v
+  ELSE greatest(i.v, 2.0 * length(shared) / (length(shared) + length(l)), 2.0 * length(shared) / (length(shared) + length(r))) END AS v FROM {name}_s s LEFT JOIN {name}_i i ON i.x = s.l AND i.y = s.r)"""
+
+
+def _partial_tables(name: str, source: str, x: str, y: str) -> str:
+    """Table name (x, y, v): the best window of the longer text against the shorter one, windows at the ends being shorter; texts of one length go both ways."""
+    return f"""{name}_d AS MATERIALIZED (SELECT DISTINCT {x} AS x, {y} AS y FROM {source}),
+{name}_o AS MATERIALIZED (SELECT x, y, CASE WHEN length(x) <= length(y) THEN x ELSE y END AS a, CASE WHEN length(x) <= length(y) THEN y ELSE x END AS b FROM {name}_d WHERE x <> '' AND y <> ''
+  UNION ALL SELECT x, y, y, x FROM {name}_d WHERE length(x) = length(y) AND x <> ''),
+{name}_m AS MATERIALIZED (SELECT DISTINCT a, b, {_FULL('a')} AS f, {_MASKS('a', 'b')} AS ms FROM {name}_o),
+{name}_w AS MATERIALIZED (SELECT a, b, f, ms[greatest(i, 0) + 1 : least(i + length(a), length(b))] AS w FROM (SELECT *, unnest(range(1 - length(a), length(b))) AS i FROM {name}_m)),
+{name}_v AS MATERIALIZED (SELECT a, b, max(2.0 * {_lcs('w', 'f', 'length(a)')} / (length(a) + len(w))) AS v FROM {name}_w GROUP BY 1, 2),
+{name} AS MATERIALIZED (SELECT d.x, d.y, CASE WHEN d.x = '' AND d.y = '' THEN 1.0 ELSE coalesce(max(v.v), 0.0) END AS v FROM {name}_d d LEFT JOIN {name}_o o ON o.x = d.x AND o.y = d.y LEFT JOIN {name}_v v ON v.a = o.a AND v.b = o.b GROUP BY 1, 2)"""
+
+
+def _with(last: str, tables: list[str], needs: str) -> str:
+    """last behind the tables of CHAIN that it and needs name, and further ones."""
+    head = chain(f"SELECT 1 FROM {needs}".replace(", ", " JOIN ")).rsplit("\nSELECT 1", 1)[0]
+    return head + ",\n" + ",\n".join(tables) + "\n" + last
+
+
+def _ratios_sql() -> str:
+    pairs = "ab AS MATERIALIZED (SELECT c.q, c.t, a.core_text AS na, b.core_text AS nb, a.addr_core AS aa, b.addr_core AS ba, array_to_string(list_sort(" + words("a.core_text") + "), ' ') AS sa, array_to_string(list_sort(" + words("b.core_text") + "), ' ') AS sb FROM cands c JOIN canon a ON a.entity_id = c.q JOIN canon b ON b.entity_id = c.t)"
+    tables = [pairs, _token_set_tables("tsn", "ab", "na", "nb"), _token_set_tables("tsa", "ab", "aa", "ba"), _indel_tables("srt", "ab", "sa", "sb"), _partial_tables("prn", "ab", "na", "nb"), _partial_tables("pra", "ab", "aa", "ba")]
+    joins = " ".join(f"JOIN {t} ON {t}.x = p.{x} AND {t}.y = p.{y}" for t, x, y in (("tsn", "na", "nb"), ("tsa", "aa", "ba"), ("srt", "sa", "sb"), ("prn", "na", "nb"), ("pra", "aa", "ba")))
+    return _with(f"SELECT p.q, p.t, round(tsn.v, 6) AS tsr_name, round(srt.v, 6) AS tsort_name, round(prn.v, 6) AS partial_name, round(tsa.v, 6) AS tsr_addr, round(pra.v, 6) AS partial_addr FROM ab p {joins}", tables, "cands, canon")
+
+
+def _collective_sql() -> str:
+    ranked = f"ranked AS MATERIALIZED (SELECT q, t, p1, row_number() {_BY_Q} AS r, CAST(count(*) FILTER (p1 >= 0.5) OVER (PARTITION BY q) AS BIGINT) AS n_confident FROM scored)"
+    sib = """sib AS MATERIALIZED (SELECT x.q, x.t, s.t AS sib, coalesce(s.p1, 0) AS sp, x.n_confident, b.full_n AS fx, coalesce(c.full_n, '') AS fy, b.nospace AS nx, coalesce(c.nospace, '') AS ny FROM ranked x
+  JOIN canon b ON b.entity_id = x.t LEFT JOIN ranked s ON s.q = x.q AND s.r = CASE WHEN x.r = 1 THEN 2 ELSE 1 END LEFT JOIN canon c ON c.entity_id = s.t)"""
+    last = """SELECT q, t, round(tsr, 6) AS sib_full_tsr, round(CASE WHEN sib IS NULL THEN 0 WHEN nx = '' AND ny = '' THEN 1 ELSE jaro_winkler_similarity(nx, ny) END, 6) AS sib_name_jw, round(sp, 6) AS sib_p, round(tsr * sp, 6) AS sib_evidence, n_confident
+FROM (SELECT s.*, CASE WHEN sib IS NULL THEN 0.0 ELSE f.v END AS tsr FROM sib s JOIN full_set f ON f.x = s.fx AND f.y = s.fy)"""
+    return _with(last, [ranked, sib, _token_set_tables("full_set", "sib", "fx", "fy")], "scored, canon")
+
+
+def _entity_sql() -> str:
+    return _with(f"""SELECT s.q, {', '.join(f'round(CAST(coalesce({c}, 0) AS DOUBLE), 6) AS {c}' for c in ('p_max', 'p_2nd', 'p_sum', 'n_cand', 'best_wjac', 'best_code', 'best_num', 'best_mutual', 'max_cos_name', 'raw_pmax'))} FROM sizes s LEFT JOIN (
+  SELECT r.q, max(p1) AS p_max, max(CASE WHEN r = 2 THEN p1 END) AS p_2nd, sum(p1) AS p_sum, count(*) AS n_cand, max(wjac_name) AS best_wjac, max(code_agree) AS best_code, max(num_agree) AS best_num,
+    max((r = 1 AND rr = 1)::INT) AS best_mutual, max(cos_name) AS max_cos_name, max(cos_full) AS raw_pmax FROM ranked r JOIN ({ORACLE['pair_set_features']}) f ON f.q = r.q AND f.t = r.t GROUP BY 1) e ON e.q = s.q""",
+        [f"ranked AS MATERIALIZED (SELECT *, row_number() {_BY_Q} AS r, row_number() {_BY_T} AS rr FROM (SELECT *, (cos_name + cos_full) / 2 AS p1 FROM cosines))"], "cosines, sizes")
+
+
+def _number(x: str) -> str:
+    return f"CAST('0x' || substring(md5({x} || ':{CFG.seed}'), 1, 8) AS BIGINT)"
+
+
+_HITS = "SELECT v.*, CASE WHEN y.s1_id IS NULL THEN 0 ELSE 1 END AS y FROM views v LEFT JOIN (SELECT DISTINCT s1_id, t_id FROM truth) y ON y.s1_id = v.q AND y.t_id = v.t"
+
 ORACLE: dict[str, str] = {
     "records_source": chain("SELECT entity_id, business_name, business_address, country, source FROM records"),
     "norm_records": chain(f"SELECT entity_id, source, country_n, name_n, addr_n, full_n, core_text, addr_core, {joined('codes')} AS codes, {joined('nums')} AS nums FROM canon"),
@@ -218,20 +292,20 @@ ORACLE: dict[str, str] = {
     "idf_by_country": chain("SELECT country_n, token, df, round(idf, 6) AS idf FROM idf"),
     "rare_core_token": chain("SELECT c.entity_id, r.token FROM canon c LEFT JOIN rare r ON r.entity_id = c.entity_id"),
     "char_gram_tfidf_topk_name": chain("SELECT q, t, round(score, 6) AS score FROM npairs"),
-    "char_gram_tfidf_topk_full": chain(f"SELECT q, t, round(score, 6) AS score FROM ({top('full', CFG.k_full)})"),
+    "char_gram_tfidf_topk_full": chain("SELECT q, t, round(score, 6) AS score FROM fpairs"),
     "exact_key_candidates": chain("SELECT q, t FROM kpairs"),
     "key_fanout_cap": chain("SELECT block, key, n FROM fan"),
     "lsh_band_candidates": chain(
         f"SELECT DISTINCT a.entity_id AS q, b.entity_id AS t FROM bands a JOIN bands b ON a.key = b.key AND a.country_n = b.country_n AND a.source = 1 AND b.source > 1 JOIN (SELECT country_n, key FROM bands WHERE source > 1 GROUP BY 1, 2 HAVING count(*) <= {CFG.lsh_cap}) f ON f.key = b.key AND f.country_n = b.country_n"
     ),
-    "candidate_union_views": chain(f"SELECT q, t, {', '.join(f'found_{v}' if v in ('name', 'key') else f'0 AS found_{v}' for v in VIEWS)}, CAST(0 AS DOUBLE) AS sc_dense, found_name + found_key AS n_views FROM views"),
+    "candidate_union_views": chain(f"SELECT q, t, {', '.join(f'found_{v}' if v in ('name', 'full', 'key') else f'0 AS found_{v}' for v in VIEWS)}, CAST(0 AS DOUBLE) AS sc_dense, found_name + found_full + found_key AS n_views FROM views"),
     "blocking_stats": chain(
         """SELECT n_pairs, round(n_pairs / n1, 6) AS avg_cand, round(1 - n_pairs / (n1 * n2), 6) AS reduction_ratio, round(hits / n_true, 6) AS completeness, round(hits / n_pairs, 6) AS precision
-        FROM (SELECT count(*) AS n_pairs, count(y.s1_id) AS hits FROM kpairs p LEFT JOIN truth y ON y.s1_id = p.q AND y.t_id = p.t), (SELECT count(*) AS n_true FROM truth),
+        FROM (SELECT count(*) AS n_pairs, count(y.s1_id) AS hits FROM views p LEFT JOIN truth y ON y.s1_id = p.q AND y.t_id = p.t), (SELECT count(*) AS n_true FROM truth),
         (SELECT count(*) FILTER (source = 1) AS n1, count(*) FILTER (source > 1) AS n2 FROM records)"""
     ),
     "per_view_recall": chain(
-        f"SELECT view, CAST(sum(f) AS BIGINT) AS n_pairs, CAST(sum(f * y) AS BIGINT) AS hits, round(sum(f * y) / (SELECT count(*) FROM truth), 6) AS recall FROM (SELECT y, unnest(['name', 'full', 'key', 'lsh', 'dense']) AS view, unnest([found_name, 0, found_key, 0, 0]) AS f FROM ({_HITS})) GROUP BY 1"
+        f"SELECT view, CAST(sum(f) AS BIGINT) AS n_pairs, CAST(sum(f * y) AS BIGINT) AS hits, round(sum(f * y) / (SELECT count(*) FROM truth), 6) AS recall FROM (SELECT y, unnest(['name', 'full', 'key', 'lsh', 'dense']) AS view, unnest([found_name, found_full, found_key, 0, 0]) AS f FROM ({_HITS})) GROUP BY 1"
     ),
     "eda_switches": chain(
         """SELECT round(agreement, 6) AS agreement, round(uniqueness, 6) AS uniqueness, round(singletons, 6) AS singletons, largest, agreement >= 0.99 AS country_block, uniqueness >= 0.995 AS hard_assign, greatest(10, largest + 5) AS kmax
@@ -265,7 +339,7 @@ ORACLE: dict[str, str] = {
         "SELECT q, t, round(CASE WHEN p >= max(p) OVER (PARTITION BY t) - 1e-12 THEN p ELSE 0 END, 6) AS p FROM (SELECT q, t, p1 / greatest(1.0, sum(p1) OVER (PARTITION BY t)) AS p FROM scored)"
     ),
     "decide_threshold": chain("SELECT q, t FROM selected"),
-    "expected_f_decision": chain("SELECT 1 FROM scored").replace("\nSELECT 1 FROM scored", f",\nkept5 AS MATERIALIZED ({_KEPT5}),\nclipped AS MATERIALIZED (SELECT q, t, least(greatest(p, 1e-6), 1 - 1e-6) AS pt FROM kept5)\n{_EXPECTED}"),
+    "expected_f_decision": chain("SELECT 1 FROM scored").replace("\nSELECT 1 FROM scored", f",\nkept AS MATERIALIZED ({_KEPT}),\nclipped AS MATERIALIZED (SELECT q, t, least(greatest(p, 1e-6), 1 - 1e-6) AS pt FROM kept)\n{_EXPECTED}"),
     "macro_f_overall": chain("SELECT round(avg(f), 6) AS macro_f, count(*) AS n_records FROM per"),
     "macro_f_by_country": chain("SELECT country_n, round(avg(f), 6) AS macro_f, count(*) AS n_records FROM per JOIN canon ON entity_id = q GROUP BY 1"),
     "choose_eps_quantile": chain(f"SELECT round(greatest({CFG.eps_floor}, least(coalesce(quantile_cont(p1, {1 - CFG.prune_recall}), {CFG.eps_floor}), {CFG.eps_ceiling})), 6) AS eps FROM scored JOIN truth ON s1_id = q AND t_id = t"),
@@ -289,5 +363,13 @@ ORACLE: dict[str, str] = {
     "dense_knn_topk": f"""WITH u AS (SELECT vec_id, [CAST(x AS DOUBLE) / sqrt(list_sum([CAST(y AS DOUBLE) * y for y in embedding])) for x in embedding] AS v FROM embeddings)
         SELECT q, t, score FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, t) AS r FROM (
         SELECT a.vec_id AS q, b.vec_id AS t, round(list_inner_product(a.v, b.v), 6) AS score FROM u a JOIN u b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0)) WHERE r <= {CFG.k_dense}""",
+    "pair_token_ratios": _ratios_sql(),
+    "collective_similarity": _collective_sql(),
+    "oof_fold_assignment": chain(f"SELECT q, t, CAST({_number('q')} % {CFG.n_folds} AS INTEGER) AS fold, true AS is_pool FROM kpairs"),
+    "sampled_split": chain(
+        f"""SELECT entity_id, business_name, business_address, country, source FROM records WHERE {_number('entity_id')} % 1000000 < 250000
+        OR source > 1 AND entity_id IN (SELECT t_id FROM truth WHERE {_number('s1_id')} % 1000000 < 250000)"""
+    ),
     "cross_encoder_text": chain("SELECT entity_id, '[COL] name [VAL] ' || raw_name || ' [COL] address [VAL] ' || raw_addr AS pair_text, 'query: ' || concat_ws(' | ', raw_name, raw_addr) AS dense_text FROM canon"),
 }
+ORACLE["entity_features"] = _entity_sql()

@@ -79,9 +79,13 @@ class Data:
     def name_pairs(self) -> DataFrame:
         return self._once("name_pairs", lambda: blocking.top_cosine(self.grams("name_n"), self.placed, CFG.k_name, CFG.threshold))
 
+    @property
+    def full_pairs(self) -> DataFrame:
+        return self._once("full_pairs", lambda: blocking.top_cosine(self.grams("full_n"), self.placed, CFG.k_full, CFG.threshold))
+
     @property
     def views(self) -> DataFrame:
-        return self._once("views", lambda: blocking.union_views({"name": self.name_pairs, "key": self.key_pairs}))
+        return self._once("views", lambda: blocking.union_views({"name": self.name_pairs, "full": self.full_pairs, "key": self.key_pairs}))
 
     @property
     def cosines(self) -> DataFrame:
@@ -167,8 +171,7 @@ def char_gram_tfidf_topk_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def char_gram_tfidf_topk_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = Data(spark, sf_dir)
-    return blocking.top_cosine(d.grams("full_n"), d.placed, CFG.k_full, CFG.threshold).select("q", "t", r6("score"))
+    return Data(spark, sf_dir).full_pairs.select("q", "t", r6("score"))
 
 
 @query
@@ -198,7 +201,7 @@ def candidate_union_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 def blocking_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = Data(spark, sf_dir)
     n1, n2 = (d.records.where(c).agg(F.count(F.lit(1)).alias("n")) for c in ("source = 1", "source > 1"))
-    out = evaluate.blocking_stats(d.key_pairs, d.truth, n1, n2)
+    out = evaluate.blocking_stats(d.views, d.truth, n1, n2)
     return out.select("n_pairs", r6("avg_cand"), r6("reduction_ratio"), r6("completeness"), r6("precision"))
 
 
@@ -307,11 +310,12 @@ def structural_assign_hard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def entity_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean of both cosines as probability, the whole text's as the raw one."""
     d = Data(spark, sf_dir)
-    rows = features.with_competition(d.scored).withColumn("cos_name", F.col("p1"))
+    rows = features.with_competition(d.cosines.withColumn("p1", (F.col("cos_name") + F.col("cos_full")) / 2))
     rows = features.with_pair_features(rows, d.weighted, ("wjac_name", "code_agree", "num_agree"))
     s1 = d.records.where("source = 1").select(F.col("entity_id").alias("q"))
-    out = structure.entity_table(rows, s1, "p1", "p1")
+    out = structure.entity_table(rows, s1, "p1", "cos_full")
     return out.select("q", *[r6(c) for c in out.columns if c != "q"])
 
 
@@ -325,8 +329,8 @@ NONE_PE = 0.3
 
 @query
 def expected_f_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The name's cosine as probability, the best five candidates, and P(no match) 0.3 for all."""
-    rows = structure.pruned(Data(spark, sf_dir).scored, 0.3, 5).select("q", "t", F.round("p1", 6).alias("p"))
+    """The name's cosine as probability, the best CFG.kmax candidates, and P(no match) 0.3 for all."""
+    rows = structure.pruned(Data(spark, sf_dir).scored, 0.3, CFG.kmax).select("q", "t", F.round("p1", 6).alias("p"))
     none = rows.select("q").distinct().withColumn("pe", F.lit(NONE_PE))
     return structure.decided(rows, none, beta=CFG.beta).select("q", "t")
 
@@ -350,7 +354,7 @@ def macro_f_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def grid_tuning(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = Data(spark, sf_dir)
-    rows = structure.pruned(d.scored, 0.3, 5).select("q", "t", F.round("p1", 6).alias("p"))
+    rows = structure.pruned(d.scored, 0.3, CFG.kmax).select("q", "t", F.round("p1", 6).alias("p"))
     none = rows.select("q").distinct().withColumn("pe", F.lit(NONE_PE))
     return structure.tuned(rows, none, d.truth, d.sizes, CFG.temperatures, CFG.scales, CFG.thresholds, CFG.beta).select("policy", "temperature", "scale", "tau", r6("f"))
 

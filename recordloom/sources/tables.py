@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import number_of
+
 COLUMNS = ("entity_id", "business_name", "business_address", "country")
 
 
@@ -57,7 +59,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def chosen(id_: Column, fraction: float, seed: int) -> Column:
     """Whether an id belongs to a sample; a matter of the id alone, so partitions don't matter."""
-    return F.pmod(F.xxhash64(id_, F.lit(seed)), F.lit(1_000_000)) < fraction * 1_000_000
+    return F.pmod(number_of(F.concat_ws(":", id_, F.lit(str(seed)))), F.lit(1_000_000)) < int(fraction * 1_000_000)
 
 
 def sampled(records: DataFrame, truth: DataFrame | None, fraction: float, seed: int) -> tuple[DataFrame, DataFrame | None]:
@@ -72,6 +74,18 @@ def sampled(records: DataFrame, truth: DataFrame | None, fraction: float, seed:
     return s1.unionByName(kept.select(*records.columns)), truth
 
 
+def split_files(spark: SparkSession, folder: str, split: str) -> list[tuple[str, int, int]]:
+    """Fingerprints of all files that a split's results depend on, its ground truth and vectors included."""
+    names = [*(f"{split}_source{i}.tsv" for i in (1, 2, 3)), f"{split}_ground_truth.tsv", f"_hidden_{split}_ground_truth.tsv", f"{split}_vectors.parquet"]
+    return fingerprint(spark, [f"{folder}/{n}" for n in names])
+
+
+def vectors(spark: SparkSession, folder: str, split: str) -> DataFrame | None:
+    """entity_id, v of a split's records, where there is such a table."""
+    path = f"{folder}/{split}_vectors.parquet"
+    return spark.read.parquet(path).select("entity_id", "v") if exists(spark, path) else None
+
+
 def fingerprint(spark: SparkSession, paths: list[str]) -> list[tuple[str, int, int]]:
     """Name, length and time of each file, for keys of stored stages."""
     out = []
