@@ -51,7 +51,8 @@ class Model:
                 byte_ids[int(sp.id_to_piece(i)[3:5], 16)] = i
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
                 pieces[sp.id_to_piece(i)] = (i, sp.get_score(i))
-        return cls(pieces, byte_ids, unknown=sp.unk_id())
+        ranked = all(float(s).is_integer() for _, s in pieces.values())  # merge models score pieces by their rank, unigram models by a log probability
+        return cls(pieces, byte_ids, merges=ranked, unknown=sp.unk_id())
 
     def merged(self, text: str) -> list[str]:
         """Best pair first, leftmost of equals, until no pair is a piece."""

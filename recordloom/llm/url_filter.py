@@ -21,8 +21,10 @@ PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)"
 
 
 def intervals(entries: DataFrame) -> DataFrame:
-    """list_name, key, action, valid_from, valid_to (open: null) from the log; only entries that block or allow."""
-    key = F.when(F.col("kind") == "domain", F.lower("pattern")).otherwise(F.regexp_replace("pattern", "/+$", ""))
+    """list_name, key, action, valid_from, valid_to (open: null) from the log; only entries that block or allow. Hosts are lower-case in keys, paths stay as they are."""
+    host = F.substring_index("pattern", "/", 1)
+    prefix = F.concat(F.lower(host), F.expr("substring(pattern, length(substring_index(pattern, '/', 1)) + 1)"))
+    key = F.when(F.col("kind") == "domain", F.lower("pattern")).otherwise(F.regexp_replace(prefix, "/+$", ""))
     log = entries.select("list_name", key.alias("key"), "action", F.col("since").cast("date").alias("valid_from")).where("key is not null and valid_from is not null").distinct()
     log = log.groupBy("list_name", "key", "valid_from").agg(F.max("action").alias("action"))  # "remove" > "block" > "allow"
     after = F.lead("valid_from").over(W.partitionBy("list_name", "key").orderBy("valid_from"))
