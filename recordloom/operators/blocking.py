@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import text as T
 from .postings import ONE, rarest
@@ -25,15 +29,64 @@ def blocks(canon: DataFrame, by_country: bool = True) -> DataFrame:
     return s1.unionByName(targets.select("entity_id", "source", F.col("country_n").alias("block"))).unionByName(everywhere)
 
 
-def top_cosine(postings: DataFrame, placed: DataFrame, k: int, least: float = 0.15) -> DataFrame:
-    """q, t, score: the k best targets of every source-1 record in its block, by cosine of at least least, then by id. Sums are combined before they move; a common gram
-    costs its records of one block squared, so blocks, not the whole table, bound it."""
-    rows = postings.select("entity_id", "gram", "w").join(placed, "entity_id")
-    a = rows.where("source = 1").select(F.col("entity_id").alias("q"), "block", "gram", F.col("w").alias("wa"))
-    b = rows.where("source > 1").select(F.col("entity_id").alias("t"), "block", "gram", F.col("w").alias("wb"))
-    dots = a.join(b, ["block", "gram"]).groupBy("q", "t").agg((F.sum(F.col("wa") * F.col("wb")) / float(ONE * ONE)).alias("score")).where(F.col("score") >= least)
-    best = W.partitionBy("q").orderBy(F.desc("score"), "t")
-    return dots.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k).drop("r")
+def _tile_product(k: int, least: float, schema: pa.Schema):
+    """The k best partners of every left record among the right ones, by sums of whole numbers; partners of equal score in the order of their ids."""
+
+    def long_form(side: pa.Table) -> tuple[np.ndarray, pa.ChunkedArray, np.ndarray]:
+        at = np.repeat(np.arange(side.num_rows), pc.list_value_length(side["grams"]).to_numpy())
+        return at, pc.list_flatten(side["grams"]), pc.list_flatten(side["ws"]).to_numpy()
+
+    def by_gram(at: np.ndarray, code: np.ndarray, w: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        order = np.argsort(code, kind="stable")
+        return at[order], w[order], np.searchsorted(code[order], np.arange(n + 1))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return schema.empty_table()
+        right = right.sort_by("t")
+        qa, qg, qw = long_form(left)
+        ta, tg, tw = long_form(right)
+        grams = pa.chunked_array([*qg.chunks, *tg.chunks], qg.type).combine_chunks().dictionary_encode()
+        code, n = grams.indices.to_numpy(), len(grams.dictionary)
+        qa, qw, qs = by_gram(qa, code[: len(qa)], qw, n)
+        ta, tw, ts = by_gram(ta, code[len(qa) :], tw, n)
+        dots = np.zeros((left.num_rows, right.num_rows), np.int64)
+        for g in np.flatnonzero((np.diff(qs) > 0) & (np.diff(ts) > 0)):
+            x, y = slice(qs[g], qs[g + 1]), slice(ts[g], ts[g + 1])
+            dots[np.ix_(qa[x], ta[y])] += qw[x, None] * tw[y]
+        scores = dots / float(ONE * ONE)
+        q_at, t_at = [], []
+        for i, row in enumerate(scores):
+            near = np.flatnonzero(row >= least)
+            if len(near) > k:
+                near = near[row[near] >= np.partition(row[near], -k)[-k]]
+                near = near[np.argsort(-row[near], kind="stable")[:k]]
+            q_at.append(np.full(len(near), i))
+            t_at.append(near)
+        q_at, t_at = np.concatenate(q_at), np.concatenate(t_at)
+        return pa.table([left["q"].take(pa.array(q_at)), right["t"].take(pa.array(t_at)), pa.array(scores[q_at, t_at])], schema=schema)
+
+    return run
+
+
+def top_cosine(postings: DataFrame, placed: DataFrame, k: int, least: float = 0.15, part: int = 2000) -> DataFrame:
+    """q, t, score: the k best targets of every source-1 record in its block, by cosine of at least least, then by id; exact. A block is cut into tiles of about part queries
+    by part targets: each is one sparse product in bounded memory (8 * part^2 bytes) and passes on its best k of a query. So no pair is shuffled but those, a record moves once
+    for each tile of its row or column, and a gram that most records of a block share is spread over all of the block's tiles."""
+    records = postings.groupBy("entity_id").agg(F.collect_list(F.struct("gram", "w")).alias("xs")).select("entity_id", F.col("xs.gram").alias("grams"), F.col("xs.w").alias("ws"))
+    count = lambda c: F.ceil(F.count_if(F.expr(c)) / part).cast("int")
+    tiles = placed.groupBy("block").agg(count("source = 1").alias("m"), count("source > 1").alias("n")).where("m > 0 and n > 0")
+    rows = records.join(placed, "entity_id").join(tiles, "block")
+    mine = lambda n: F.pmod(F.xxhash64("entity_id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    a = rows.where("source = 1").select("block", mine("m").alias("i"), every("n").alias("j"), F.col("entity_id").alias("q"), "grams", "ws")
+    b = rows.where("source > 1").select("block", every("m").alias("i"), mine("n").alias("j"), F.col("entity_id").alias("t"), "grams", "ws")
+    b = b.select(*[F.col(c).alias(c) for c in b.columns])  # columns of their own, as both sides come from the same rows
+    kind = placed.schema["entity_id"].dataType
+    ids = to_arrow_type(kind)
+    run = _tile_product(k, least, pa.schema([("q", ids), ("t", ids), ("score", pa.float64())]))
+    best = a.groupBy("block", "i", "j").cogroup(b.groupBy("block", "i", "j")).applyInArrow(run, f"q {kind.simpleString()}, t {kind.simpleString()}, score double")
+    return top_scored(best, "score", k)
 
 
 def pair_cosine(pairs: DataFrame, postings: DataFrame, name: str) -> DataFrame:
@@ -100,7 +153,6 @@ def top_scored(pairs: DataFrame, score: str, k: int) -> DataFrame:
 def nearest(vectors: DataFrame, queries: DataFrame, k: int, part: int = 2000, kind: str = "long") -> DataFrame:
     """q, t, score: the k largest inner products of normalised vectors (id, v), exact. queries is a stated set of rows, met by all rows in blocks: parts of about part queries
     meet parts of about part rows as one matrix product, and each block passes on its best k of a query."""
-    import numpy as np
     import pandas as pd
 
     n, m = max(1, -(-vectors.count() // part)), max(1, -(-queries.count() // part))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__
 from recordloom.config import Config
 from recordloom.oracle import ORACLE
-from recordloom.operators import evaluate
+from recordloom.operators import blocking, evaluate
 from recordloom.plans import linkage
 from recordloom.queries import QUERIES, Data
 from recordloom.sources import sinks, synth, tables
@@ -134,3 +134,22 @@ def test_faults(spark):
     m = spark.createDataFrame([("a", "x,z"), ("a", "")], "source1_entity_id string, matched_entity_ids string")
     got = {r[0]: r[1] for r in sinks.faults(s1, t, c, m).collect()}
     assert got == {"missing row": 1, "repeated row": 1, "unknown record": 0, "unknown target": 1, "match without candidate": 1}
+
+
+@pytest.mark.parametrize("part", [3, 2000])
+def test_top_cosine_by_tiles(spark, part):
+    """Tiles of any size give what all pairs give: many equal scores, a block without targets, a record in two blocks, one without grams."""
+    one = blocking.ONE
+    records = [(f"e{i:02d}", 1 if i % 2 else 2 + i % 3 // 2, "b" if i % 5 else "c") for i in range(40)] + [("lone", 1, "d"), ("bare", 1, "b"), ("bare2", 2, "b")]
+    weights = {e: {f"g{(int(e[1:]) * k) % 7}": one // (2 + k) for k in range(1, 4)} for e, _, _ in records if e[1:].isdigit()}
+    weights["lone"] = {"g1": one}
+    placed = records + [("e02", 2, "c")]
+    postings = spark.createDataFrame([(e, g, w) for e, gs in weights.items() for g, w in gs.items()], "entity_id string, gram string, w long")
+    got = blocking.top_cosine(postings, spark.createDataFrame(placed, "entity_id string, source int, block string"), 4, 0.15, part)
+    wanted = []
+    for q, source, block in placed:
+        if source == 1:
+            dots = [(sum(w * weights.get(t, {}).get(g, 0) for g, w in weights.get(q, {}).items()) / float(one * one), t) for t, s, b in placed if s > 1 and b == block]
+            wanted += [(q, t, score) for score, t in sorted((x for x in dots if x[0] >= 0.15), key=lambda x: (-x[0], x[1]))[:4]]
+    assert sorted(map(tuple, got.collect())) == sorted(wanted) and wanted
+    assert blocking.top_cosine(postings.limit(0), spark.createDataFrame(placed, "entity_id string, source int, block string"), 4).count() == 0
