@@ -10,6 +10,7 @@ remain are counted over all columns. So all links between different components a
 cost m * m pairs.
 
 Columns of very many documents (over max(1000, 4 * all / CELLS) by a count sketch of fixed size) skip the counting and sort last.
+Rows of a column of over WIDE documents are dealt into SALTS parts by document; what they meet, the centre or the rest of the column, goes to each part.
 
 Documents with the same set of n-grams are one class from the start. Codes of n-grams and classes have 64 bits, of which at least 48 take part in a
 comparison beside the block; a false match of two codes is the only inexactness.
@@ -36,6 +37,7 @@ CELLS = 1 << 21
 CHUNK = 1 << 11
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 HOT = (1 << 31) - 1
+WIDE, SALTS = 1000, 64
 BATCH_NGRAMS = 1 << 21
 M1, M2 = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
 
@@ -200,7 +202,7 @@ def _shared_columns(shift: int):
 
 
 def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """cls, n, alone (columns that no other class has), hs, and a bitmap of hs of at least eight bits a column."""
+    """cls, n, alone (columns that no other class has), hs, narrow (columns of up to WIDE classes, which come first), and a bitmap of hs of at least eight bits a column."""
     for batch in batches:
         bits, n = [], batch.column(1).to_pylist()
         for hs, k in zip(batch.column(3), n, strict=True):
@@ -211,7 +213,7 @@ def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             flags = np.zeros(size, bool)
             flags[at] = True
             bits.append(np.packbits(flags).view(np.int64))
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bits, pa.list_(pa.int64()))], ["cls", "n", "alone", "hs", "bits"])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bits, pa.list_(pa.int64()))], ["cls", "n", "alone", "hs", "narrow", "bits"])
 
 
 def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,6 +241,11 @@ def _bitmaps_may_link(x: str, y: str) -> Column:
         >= 75 * ({x}n + {y}n)""")
 
 
+def _parts(wide: str) -> Column:
+    """A row for each part of a column."""
+    return F.explode(F.when(F.col(wide), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of the edges (a, b), root being the smallest node of its component, by large and small stars in turn."""
     now = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "edges")
@@ -280,25 +287,28 @@ def components_of(docs: DataFrame) -> DataFrame:
     shared = rows.select("text").mapInArrow(_postings(hot, shift), "block int, blob binary").groupBy("block").applyInArrow(_shared_columns(shift), "cls long, h long, df int")
     lists = shared.groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("xs"))
     kept = classes.join(lists, "cls").where(100 * F.size("xs") >= 75 * F.col("n"))
-    lists = kept.select("cls", "n", (F.col("n") - F.size("xs")).alias("alone"), F.col("xs.h").alias("hs"))
-    lists = stored(lists.mapInArrow(_bitmaps, "cls long, n long, alone long, hs array<bigint>, bits array<bigint>"), "lists")
+    lists = kept.select("cls", "n", (F.col("n") - F.size("xs")).alias("alone"), F.col("xs.h").alias("hs"), F.size(F.filter("xs", lambda x: x["df"] <= WIDE)).alias("narrow"))
+    lists = stored(lists.mapInArrow(_bitmaps, "cls long, n long, alone long, hs array<bigint>, narrow int, bits array<bigint>"), "lists")
     need = F.expr("cast((3 * n + 3) div 4 as int)")
-    columns = stored(lists.select("cls", "n", "alone", F.explode(F.slice("hs", F.lit(1), F.size("hs") - need + 1)).alias("h")), "columns")
-    centre = columns.groupBy("h").agg(F.min(F.struct("alone", "cls", "n")).alias("c"), F.count(F.lit(1)).alias("m")).where("m > 1").select("h", F.col("c.cls").alias("c"), F.col("c.n").alias("cn"), F.col("c.alone").alias("calone"))
-    star = columns.join(centre, "h").where((F.col("cls") != F.col("c")) & _may_link("", "c"))
+    first_columns = lists.select("cls", "n", "alone", "narrow", F.posexplode(F.slice("hs", F.lit(1), F.size("hs") - need + 1)).alias("place", "h"))
+    wide = F.col("place") >= F.col("narrow")  # one answer for all rows of a column
+    columns = stored(first_columns.select("cls", "n", "alone", "h", wide.alias("wide"), F.when(wide, F.pmod(F.xxhash64("cls"), F.lit(SALTS)).cast("int")).otherwise(0).alias("salt")), "columns")
+    centre = columns.groupBy("h").agg(F.min(F.struct("alone", "cls", "n")).alias("c"), F.count(F.lit(1)).alias("m"), F.max("wide").alias("c_wide")).where("m > 1")
+    centre = centre.select("h", F.col("c.cls").alias("c"), F.col("c.n").alias("cn"), F.col("c.alone").alias("calone"), _parts("c_wide").alias("salt"))
+    star = columns.join(centre, ["h", "salt"]).where((F.col("cls") != F.col("c")) & _may_link("", "c"))
     tested = stored(star.select(F.least("cls", "c").alias("a"), F.greatest("cls", "c").alias("b")).distinct(), "tested")
     links = stored(_linked(tested, lists), "links")
     roots = stored(connected(links), "roots")
     # columns whose documents are not all in the centre's component: the rest of them meet all others
-    at = columns.join(roots, F.col("cls") == F.col("node"), "left").select("h", "cls", F.coalesce("root", "cls").alias("root"))
-    c_at = centre.join(roots, F.col("c") == F.col("node"), "left").select("h", "c", F.coalesce("root", "c").alias("c_root"))
-    at = stored(at.join(c_at, "h"), "at")
-    odd = at.where("root != c_root").select("h", F.col("cls").alias("x"), F.col("root").alias("xroot"))
-    open_ = odd.select("h").distinct()
+    at = columns.join(roots, F.col("cls") == F.col("node"), "left").select("h", "wide", "salt", "cls", F.coalesce("root", "cls").alias("root"))
+    c_at = centre.join(roots, F.col("c") == F.col("node"), "left").select("h", "salt", "c", F.coalesce("root", "c").alias("c_root"))
+    at = stored(at.join(c_at, ["h", "salt"]), "at")
+    odd = at.where("root != c_root").select("h", "wide", F.col("cls").alias("x"), F.col("root").alias("xroot"))
+    open_ = odd.select("h", "wide").distinct().select("h", _parts("wide").alias("salt"))
     known = lists.select("cls", "n", "alone", "bits").mapInArrow(_folded, "cls long, n long, alone long, bits array<bigint>, fold array<bigint>")
-    ys = at.join(open_, "h", "left_semi").where("cls != c").select("h", F.col("cls").alias("ycls"), F.col("root").alias("yroot")).join(known.select(*[F.col(k).alias(f"y{k}") for k in known.columns]), "ycls")
-    xs = odd.join(known.select(F.col("cls").alias("x"), *[F.col(k).alias(f"x{k}") for k in known.columns if k != "cls"]), "x")
-    more = ys.join(xs, (ys["h"] == xs["h"]) & (F.col("yroot") != F.col("xroot")) & _may_link("x", "y") & _bitmaps_may_link("x", "y"))
+    ys = at.join(open_, ["h", "salt"], "left_semi").where("cls != c").select("h", "salt", F.col("cls").alias("ycls"), F.col("root").alias("yroot")).join(known.select(*[F.col(k).alias(f"y{k}") for k in known.columns]), "ycls")
+    xs = odd.join(known.select(F.col("cls").alias("x"), *[F.col(k).alias(f"x{k}") for k in known.columns if k != "cls"]), "x").withColumn("part", _parts("wide"))
+    more = ys.join(xs, (ys["h"] == xs["h"]) & (ys["salt"] == xs["part"]) & (F.col("yroot") != F.col("xroot")) & _may_link("x", "y") & _bitmaps_may_link("x", "y"))
     more = more.select(F.least("ycls", "x").alias("a"), F.greatest("ycls", "x").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
     more = stored(more, "more")
     late = stored(_linked(more, lists), "links")

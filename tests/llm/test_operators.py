@@ -253,6 +253,22 @@ def test_ngram_join(spark, odd, kind):
     assert sorted(r["doc_id"] for r in rows_of(one) if r["doc_id"] is not None) == sorted(set(least.values()))
 
 
+def test_ngram_join_in_parts(spark, monkeypatch):
+    """Every shared column dealt into parts by document: the same components, also of texts that share one passage and links that no centre sees."""
+    rng = random.Random(9)
+    passage = " ".join(f"p{i}" for i in range(12))
+    texts = family(rng, 60) + [f"{passage} " + " ".join(f"w{rng.randrange(9)}" for _ in range(4 + i % 3)) for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets, root = groups_of(texts)
+    least = {}
+    for i, g in enumerate(root):
+        least[g] = min(least.get(g, i), i)
+    monkeypatch.setattr(ngram_join, "WIDE", 1)
+    monkeypatch.setattr(ngram_join, "SALTS", 5)
+    got = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows_of(ngram_join.components_of(docs))}
+    assert got == {(i, len(s), least[g]) for i, (s, g) in enumerate(zip(sets, root, strict=True))}
+
+
 def test_ngram_join_of_nothing(spark):
     assert ngram_join.components_of(empty(spark)).count() == 0 and ngram_join.one_each(empty(spark)).count() == 0
 
