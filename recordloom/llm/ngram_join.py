@@ -10,7 +10,8 @@ remain are counted over all columns. So all links between different components a
 cost m * m pairs.
 
 Columns of very many documents (over max(1000, 4 * all / CELLS) by a count sketch of fixed size) skip the counting and sort last.
-Rows of a column of over WIDE documents are dealt into SALTS parts by document; what they meet, the centre or the rest of the column, goes to each part.
+Rows of a column of over WIDE documents are dealt into SALTS parts by document, and its centre goes to each part. Where the rest of a column meets the others,
+ODD_PARTS parts do: rows of the rest, which carry bitmaps, go to each.
 
 Documents with the same set of n-grams are one class from the start. Codes of n-grams and classes have 64 bits, of which at least 48 take part in a
 comparison beside the block; a false match of two codes is the only inexactness.
@@ -37,7 +38,7 @@ CELLS = 1 << 21
 CHUNK = 1 << 11
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 HOT = (1 << 31) - 1
-WIDE, SALTS = 1000, 64
+WIDE, SALTS, ODD_PARTS = 1000, 64, 8
 BATCH_NGRAMS = 1 << 21
 M1, M2 = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
 
@@ -241,9 +242,9 @@ def _bitmaps_may_link(x: str, y: str) -> Column:
         >= 75 * ({x}n + {y}n)""")
 
 
-def _parts(wide: str) -> Column:
-    """A row for each part of a column."""
-    return F.explode(F.when(F.col(wide), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
+def _parts(wide: str, n: int) -> Column:
+    """A row for each of n parts of a column."""
+    return F.explode(F.when(F.col(wide), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0))))
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -294,7 +295,7 @@ def components_of(docs: DataFrame) -> DataFrame:
     wide = F.col("place") >= F.col("narrow")  # one answer for all rows of a column
     columns = stored(first_columns.select("cls", "n", "alone", "h", wide.alias("wide"), F.when(wide, F.pmod(F.xxhash64("cls"), F.lit(SALTS)).cast("int")).otherwise(0).alias("salt")), "columns")
     centre = columns.groupBy("h").agg(F.min(F.struct("alone", "cls", "n")).alias("c"), F.count(F.lit(1)).alias("m"), F.max("wide").alias("c_wide")).where("m > 1")
-    centre = centre.select("h", F.col("c.cls").alias("c"), F.col("c.n").alias("cn"), F.col("c.alone").alias("calone"), _parts("c_wide").alias("salt"))
+    centre = centre.select("h", F.col("c.cls").alias("c"), F.col("c.n").alias("cn"), F.col("c.alone").alias("calone"), _parts("c_wide", SALTS).alias("salt"))
     star = columns.join(centre, ["h", "salt"]).where((F.col("cls") != F.col("c")) & _may_link("", "c"))
     tested = stored(star.select(F.least("cls", "c").alias("a"), F.greatest("cls", "c").alias("b")).distinct(), "tested")
     links = stored(_linked(tested, lists), "links")
@@ -304,10 +305,10 @@ def components_of(docs: DataFrame) -> DataFrame:
     c_at = centre.join(roots, F.col("c") == F.col("node"), "left").select("h", "salt", "c", F.coalesce("root", "c").alias("c_root"))
     at = stored(at.join(c_at, ["h", "salt"]), "at")
     odd = at.where("root != c_root").select("h", "wide", F.col("cls").alias("x"), F.col("root").alias("xroot"))
-    open_ = odd.select("h", "wide").distinct().select("h", _parts("wide").alias("salt"))
+    open_ = odd.select("h", "wide").distinct().select("h", _parts("wide", SALTS).alias("salt"))
     known = lists.select("cls", "n", "alone", "bits").mapInArrow(_folded, "cls long, n long, alone long, bits array<bigint>, fold array<bigint>")
-    ys = at.join(open_, ["h", "salt"], "left_semi").where("cls != c").select("h", "salt", F.col("cls").alias("ycls"), F.col("root").alias("yroot")).join(known.select(*[F.col(k).alias(f"y{k}") for k in known.columns]), "ycls")
-    xs = odd.join(known.select(F.col("cls").alias("x"), *[F.col(k).alias(f"x{k}") for k in known.columns if k != "cls"]), "x").withColumn("part", _parts("wide"))
+    ys = at.join(open_, ["h", "salt"], "left_semi").where("cls != c").select("h", (F.col("salt") % ODD_PARTS).alias("salt"), F.col("cls").alias("ycls"), F.col("root").alias("yroot")).join(known.select(*[F.col(k).alias(f"y{k}") for k in known.columns]), "ycls")
+    xs = odd.join(known.select(F.col("cls").alias("x"), *[F.col(k).alias(f"x{k}") for k in known.columns if k != "cls"]), "x").withColumn("part", _parts("wide", ODD_PARTS))
     more = ys.join(xs, (ys["h"] == xs["h"]) & (ys["salt"] == xs["part"]) & (F.col("yroot") != F.col("xroot")) & _may_link("x", "y") & _bitmaps_may_link("x", "y"))
     more = more.select(F.least("ycls", "x").alias("a"), F.greatest("ycls", "x").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
     more = stored(more, "more")

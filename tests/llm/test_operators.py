@@ -264,7 +264,8 @@ def test_ngram_join_in_parts(spark, monkeypatch):
     for i, g in enumerate(root):
         least[g] = min(least.get(g, i), i)
     monkeypatch.setattr(ngram_join, "WIDE", 1)
-    monkeypatch.setattr(ngram_join, "SALTS", 5)
+    monkeypatch.setattr(ngram_join, "SALTS", 6)
+    monkeypatch.setattr(ngram_join, "ODD_PARTS", 3)
     got = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows_of(ngram_join.components_of(docs))}
     assert got == {(i, len(s), least[g]) for i, (s, g) in enumerate(zip(sets, root, strict=True))}
 
