@@ -319,9 +319,11 @@ def components_of(docs: DataFrame) -> DataFrame:
         roots = stored(connected(links.unionByName(late)), "roots")
     release(links)
     release(late)
-    named = classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "rep", F.coalesce("root", "cls").alias("root"))
-    least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    by_class = named.join(least, "root").select("cls", "component_id")
+    # only linked classes need their component's smallest id; one component may hold a third of them, so they meet it in parts
+    linked = roots.withColumnRenamed("node", "cls").join(classes, "cls").select("cls", "rep", "root", F.pmod(F.xxhash64("cls"), F.lit(ODD_PARTS)).cast("int").alias("salt"))
+    least = linked.groupBy("root").agg(F.min("rep").alias("component_id")).select("root", "component_id", F.explode(F.sequence(F.lit(0), F.lit(ODD_PARTS - 1))).alias("salt"))
+    of_linked = linked.join(least, ["root", "salt"]).select("cls", "component_id")
+    by_class = classes.join(of_linked, "cls", "left").select("cls", F.coalesce("component_id", "rep").alias("component_id"))
     some = base.where("cls is not null").join(by_class, "cls").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return some.unionByName(base.where("cls is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
