@@ -207,8 +207,13 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, cfg: Config | None = N
         metrics["test_pairs"], metrics["test_pairs_pruned"] = rows.count(), answered.count()
         metrics["faults"] = {r[0]: r[1] for r in sinks.faults(split.s1, targets, candidates, matches).collect()}
         if truth is not None:
-            per = structure.macro_f_by(selected, tables.truth_pairs(truth), tables.truth_sizes(truth).withColumnRenamed("s1_id", "q"), cfg.beta)
+            real = tables.truth_pairs(truth)
+            per = structure.macro_f_by(selected, real, tables.truth_sizes(truth).withColumnRenamed("s1_id", "q"), cfg.beta)
+            country = split.weighted.select(F.col("entity_id").alias("q"), "country_n")
             metrics["test_macro_f"] = per.agg(F.avg("f")).first()[0]
+            metrics["test_by_country"] = {r[0]: r[1] for r in per.join(country, "q").groupBy("country_n").agg(F.avg("f")).collect()}
+            counts = (split.s1.agg(F.count(F.lit(1)).alias("n")), targets.agg(F.count(F.lit(1)).alias("n")))
+            metrics["test_blocking"], metrics["test_blocking_pruned"] = (evaluate.blocking_stats(x, real, *counts).first().asDict() for x in (rows, answered))
     sinks.write_metrics(spark, f"{out_dir}/metrics.json", metrics)
     return metrics
 

@@ -57,6 +57,7 @@ def test_whole_run(spark, tmp_path):
     cfg = Config(stage2_folds=2, n_folds=2, rounds=2, depth=2, blocker="both")
     out = linkage.run(spark, f"file://{tmp_path}", f"file://{tmp_path}/out", cfg)
     assert out["macro_f"] > 0.6 and out["test_macro_f"] > 0.6 and set(out["faults"].values()) == {0}
+    assert set(out["test_by_country"]) == set(out["by_country"]) and out["test_blocking"]["completeness"] >= out["test_blocking_pruned"]["completeness"] > 0.5
     assert spark.read.csv(f"file://{tmp_path}/out/matching_results.tsv", sep="\t", header=True).count() == 150
 
 
