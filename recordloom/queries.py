@@ -430,16 +430,17 @@ def oof_fold_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _training(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, tuple[str, ...]]:
+    """All candidates with the features of the first model, labels and folds, as the plan trains on them; wjac_all is for the curve alone."""
     d = Data(spark, sf_dir)
-    names = ("wjac_name", "wjac_addr", "wjac_all", "code_agree", "num_agree", "lev_name", "core_equal", "first_tok_equal", "phon_jac")
-    rows = evaluate.labelled(features.with_pair_features(d.key_pairs, d.weighted, names), d.truth)
-    return model.with_folds(rows, 3, CFG.seed), names
+    found = d.views.join(d.cosines, ["q", "t"])
+    made = lambda: evaluate.labelled(features.with_context(features.with_pair_features(found, d.weighted, (*features.CHEAP, "wjac_all"))), d.truth)
+    return model.with_folds(d._once("training", made), CFG.stage2_folds, CFG.seed), features.active(features.CHEAP, CFG.drop_groups)
 
 
 @query
 def gbt_oof_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, names = _training(spark, sf_dir)
-    return model.out_of_fold(rows, names, "raw", 3, rounds=5, depth=4, seed=CFG.seed)[0].select("q", "t", "y", "fold", "raw")
+    return model.out_of_fold(rows, names, "raw", CFG.stage2_folds, CFG.rounds, CFG.depth, CFG.neg_rate, CFG.seed)[0].select("q", "t", "y", "fold", "raw")
 
 
 @query
