@@ -5,13 +5,15 @@ share, and returns the rest with their document counts. A document of n n-grams
 others, only the rarest columns are multiplied: with size(x) columns left, the first size(x) - ceil(0.75 n) + 1 in the order of counts; two
 linked documents share at least one of those. The product is not written out in full for a column of many documents: each document meets the
 column's centre first, and only those whose component then still differs from the centre's meet the rest. Before a pair is made, an upper bound of its overlap
-drops it: no more than the columns that either has left, less those that bitmaps of the two show to be missing in the other. Overlaps of the pairs that
+drops it. All documents have their columns in one order, so at the first column that two share, neither shares one that comes before: the overlap is no more
+than what either has from there on. A linked pair keeps the bound at that column, whatever it does at later ones, so nothing is lost; pairs that meet at
+a passage of many documents, behind columns of their own, go. Pairs meet by bands of sizes besides the column. Overlaps of the pairs that
 remain are counted over all columns. So all links between different components are seen, while a column of m documents doesn't
 cost m * m pairs.
 
 Columns of very many documents (over max(1000, 4 * all / CELLS) by a count sketch of fixed size) skip the counting and sort last.
 Rows of a column of over WIDE documents are dealt into SALTS parts by document, and its centre goes to each part. Where the rest of a column meets the others,
-ODD_PARTS parts do: rows of the rest, which carry bitmaps, go to each.
+ODD_PARTS parts do: rows of the rest go to each.
 
 Documents with the same set of n-grams are one class from the start. Codes of n-grams and classes have 64 bits, of which at least 48 take part in a
 comparison beside the block; a false match of two codes is the only inexactness.
@@ -24,6 +26,8 @@ further columns are ignored by components_of() and kept by one_each().
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -202,44 +206,28 @@ def _shared_columns(shift: int):
     return run
 
 
-def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """cls, n, alone (columns that no other class has), hs, narrow (columns of up to WIDE classes, which come first), and a bitmap of hs of at least eight bits a column."""
-    for batch in batches:
-        bits, n = [], batch.column(1).to_pylist()
-        for hs, k in zip(batch.column(3), n, strict=True):
-            size = max(64, 1 << (8 * k - 1).bit_length())
-            x = np.array(hs.as_py(), np.int64).view(np.uint64)
-            with np.errstate(over="ignore"):
-                at = ((x * M2) >> np.uint64(64 - size.bit_length() + 1)).astype(np.int64)
-            flags = np.zeros(size, bool)
-            flags[at] = True
-            bits.append(np.packbits(flags).view(np.int64))
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bits, pa.list_(pa.int64()))], ["cls", "n", "alone", "hs", "narrow", "bits"])
-
-
-def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows with the bitmap of half the size: two neighbouring bits are one, as the place of a column is the top of its code."""
-    for batch in batches:
-        folds = []
-        for x in batch.column(3):
-            flags = np.unpackbits(np.array(x.as_py(), np.int64).view(np.uint8))
-            half = flags[0::2] | flags[1::2]
-            folds.append(np.packbits(half).view(np.int64) if len(half) >= 64 else np.array(x.as_py(), np.int64))
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(folds, pa.list_(pa.int64()))], ["cls", "n", "alone", "bits", "fold"])
-
-
 def _may_link(x: str, y: str) -> Column:
     """Whether the overlap of x and y, by the columns that they have left, may reach the bound."""
     left = F.least(F.col(f"{x}n") - F.col(f"{x}alone"), F.col(f"{y}n") - F.col(f"{y}alone"))
     return 175 * left >= 75 * (F.col(f"{x}n") + F.col(f"{y}n"))
 
 
-def _bitmaps_may_link(x: str, y: str) -> Column:
-    """The same, less the columns that a bitmap shows to be missing in the other; the larger bitmap is folded, which pairs two neighbouring bits."""
-    return F.expr(f"""
-        175 * least({x}n - {x}alone - aggregate(zip_with(if(size({x}bits) > size({y}bits), {x}fold, {x}bits), if(size({y}bits) > size({x}bits), {y}fold, {y}bits), (p, q) -> bit_count(p & ~q)), 0, (a, p) -> a + p),
-                    {y}n - {y}alone - aggregate(zip_with(if(size({x}bits) > size({y}bits), {x}fold, {x}bits), if(size({y}bits) > size({x}bits), {y}fold, {y}bits), (p, q) -> bit_count(q & ~p)), 0, (a, p) -> a + p))
-        >= 75 * ({x}n + {y}n)""")
+def _band(n: Column) -> Column:
+    """A number that grows with n >= 1, by one for each factor of 4/3."""
+    return F.floor(F.log(n) / F.log(F.lit(4 / 3))).cast("int")
+
+
+def _late_pairs(ys: DataFrame, xs: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of different roots that share a column (h, part) and may be linked if it is the first that they share. ys, xs: h, part, cls, root, n, rest, with rest the columns
+    of the document from h on. The size of a partner lies between 3/4 n, as it holds the overlap, and 7/3 rest - n."""
+    least = F.ceil(F.col("n") * 3 / 4)
+    most = F.greatest(least, F.floor(F.col("rest") * 7 / 3) - F.col("n"))
+    xs = xs.withColumn("band", F.explode(F.sequence(_band(least), _band(most))))
+    x, y = xs.select(*[F.col(c).alias(f"x{c}") for c in xs.columns]), ys.withColumn("band", _band(F.col("n")))
+    y = y.select(*[F.col(c).alias(f"y{c}") for c in y.columns])
+    met = reduce(and_, [F.col(f"y{c}") == F.col(f"x{c}") for c in ("h", "part", "band")])
+    may = 175 * F.least("xrest", "yrest") >= 75 * (F.col("xn") + F.col("yn"))
+    return y.join(x, met & (F.col("yroot") != F.col("xroot")) & may).select(F.least("ycls", "xcls").alias("a"), F.greatest("ycls", "xcls").alias("b")).distinct()
 
 
 def _parts(wide: str, n: int) -> Column:
@@ -289,11 +277,11 @@ def components_of(docs: DataFrame) -> DataFrame:
     lists = shared.groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("xs"))
     kept = classes.join(lists, "cls").where(100 * F.size("xs") >= 75 * F.col("n"))
     lists = kept.select("cls", "n", (F.col("n") - F.size("xs")).alias("alone"), F.col("xs.h").alias("hs"), F.size(F.filter("xs", lambda x: x["df"] <= WIDE)).alias("narrow"))
-    lists = stored(lists.mapInArrow(_bitmaps, "cls long, n long, alone long, hs array<bigint>, narrow int, bits array<bigint>"), "lists")
+    lists = stored(lists, "lists")
     need = F.expr("cast((3 * n + 3) div 4 as int)")
     first_columns = lists.select("cls", "n", "alone", "narrow", F.posexplode(F.slice("hs", F.lit(1), F.size("hs") - need + 1)).alias("place", "h"))
     wide = F.col("place") >= F.col("narrow")  # one answer for all rows of a column
-    columns = stored(first_columns.select("cls", "n", "alone", "h", wide.alias("wide"), F.when(wide, F.pmod(F.xxhash64("cls"), F.lit(SALTS)).cast("int")).otherwise(0).alias("salt")), "columns")
+    columns = stored(first_columns.select("cls", "n", "alone", "place", "h", wide.alias("wide"), F.when(wide, F.pmod(F.xxhash64("cls"), F.lit(SALTS)).cast("int")).otherwise(0).alias("salt")), "columns")
     centre = columns.groupBy("h").agg(F.min(F.struct("alone", "cls", "n")).alias("c"), F.count(F.lit(1)).alias("m"), F.max("wide").alias("c_wide")).where("m > 1")
     centre = centre.select("h", F.col("c.cls").alias("c"), F.col("c.n").alias("cn"), F.col("c.alone").alias("calone"), _parts("c_wide", SALTS).alias("salt"))
     star = columns.join(centre, ["h", "salt"]).where((F.col("cls") != F.col("c")) & _may_link("", "c"))
@@ -301,16 +289,16 @@ def components_of(docs: DataFrame) -> DataFrame:
     links = stored(_linked(tested, lists), "links")
     roots = stored(connected(links), "roots")
     # columns whose documents are not all in the centre's component: the rest of them meet all others
-    at = columns.join(roots, F.col("cls") == F.col("node"), "left").select("h", "wide", "salt", "cls", F.coalesce("root", "cls").alias("root"))
+    at = columns.join(roots, F.col("cls") == F.col("node"), "left")
+    at = at.select("h", "wide", "salt", "cls", "n", (F.col("n") - F.col("alone") - F.col("place")).alias("rest"), F.coalesce("root", "cls").alias("root"))
     c_at = centre.join(roots, F.col("c") == F.col("node"), "left").select("h", "salt", "c", F.coalesce("root", "c").alias("c_root"))
     at = stored(at.join(c_at, ["h", "salt"]), "at")
-    odd = at.where("root != c_root").select("h", "wide", F.col("cls").alias("x"), F.col("root").alias("xroot"))
+    names = ["cls", "root", "n", "rest"]
+    odd = at.where("root != c_root").select("h", "wide", *names)
     open_ = odd.select("h", "wide").distinct().select("h", _parts("wide", SALTS).alias("salt"))
-    known = lists.select("cls", "n", "alone", "bits").mapInArrow(_folded, "cls long, n long, alone long, bits array<bigint>, fold array<bigint>")
-    ys = at.join(open_, ["h", "salt"], "left_semi").where("cls != c").select("h", (F.col("salt") % ODD_PARTS).alias("salt"), F.col("cls").alias("ycls"), F.col("root").alias("yroot")).join(known.select(*[F.col(k).alias(f"y{k}") for k in known.columns]), "ycls")
-    xs = odd.join(known.select(F.col("cls").alias("x"), *[F.col(k).alias(f"x{k}") for k in known.columns if k != "cls"]), "x").withColumn("part", _parts("wide", ODD_PARTS))
-    more = ys.join(xs, (ys["h"] == xs["h"]) & (ys["salt"] == xs["part"]) & (F.col("yroot") != F.col("xroot")) & _may_link("x", "y") & _bitmaps_may_link("x", "y"))
-    more = more.select(F.least("ycls", "x").alias("a"), F.greatest("ycls", "x").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
+    ys = at.join(open_, ["h", "salt"], "left_semi").where("cls != c").select("h", (F.col("salt") % ODD_PARTS).alias("part"), *names)
+    xs = odd.select("h", _parts("wide", ODD_PARTS).alias("part"), *names)
+    more = _late_pairs(ys, xs).join(tested, ["a", "b"], "left_anti")
     more = stored(more, "more")
     late = stored(_linked(more, lists), "links")
     for done in (more, at, columns, lists, tested):

@@ -270,6 +270,19 @@ def test_ngram_join_in_parts(spark, monkeypatch):
     assert got == {(i, len(s), least[g]) for i, (s, g) in enumerate(zip(sets, root, strict=True))}
 
 
+def test_late_pairs_by_the_first_shared_column(spark):
+    """Documents of many pairs of copies that hold one passage don't meet there, behind 30 columns of their own; each meets its copy at the first column."""
+    rows = [(h, 0, 2 * g + i, 2 * g + i, 100 + g, left) for g in range(200) for i in (0, 1) for h, left in ((7, 70 + 3 * g // 4), (1000 + g, 100 + g))]
+    at = spark.createDataFrame(rows, "h long, part int, cls long, root long, n long, rest long")
+    got = [(r["a"], r["b"]) for r in rows_of(ngram_join._late_pairs(at, at))]
+    assert sorted(got) == [(2 * g, 2 * g + 1) for g in range(200)]
+    rng = random.Random(4)
+    some = [(rng.randrange(30), 0, i, i, n, n - rng.randrange(n // 4 + 1)) for i in range(900) for n in [rng.randrange(1, 60)]]
+    at = spark.createDataFrame(some, "h long, part int, cls long, root long, n long, rest long")
+    want = {(x[2], y[2]) for x in some for y in some if x[2] < y[2] and x[0] == y[0] and 175 * min(x[5], y[5]) >= 75 * (x[4] + y[4])}
+    assert {(r["a"], r["b"]) for r in rows_of(ngram_join._late_pairs(at, at))} == want
+
+
 def test_ngram_join_of_nothing(spark):
     assert ngram_join.components_of(empty(spark)).count() == 0 and ngram_join.one_each(empty(spark)).count() == 0
 
