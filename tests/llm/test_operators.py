@@ -521,6 +521,23 @@ def test_trees_that_are_deep_or_wide():
     assert html_text.aligned(c, d)[0] > 8000 and time.time() - began < 60
 
 
+def test_long_lists_are_aligned_as_short_ones(monkeypatch):
+    """The same match whatever number of pairs is held at once, also where a block is moved far across a list."""
+    rng = random.Random(6)
+    item = lambda i: ["p", str(i), 0, [["b", "", 0, []] for _ in range(i % 3)]]
+    for n in (40, 300):
+        x, y = [rng.randrange(9) for _ in range(n)], [rng.randrange(9) for _ in range(n - 7)]
+        a, b = (["body", "", 0, [item(i) for i in z]] for z in (x + y[: n // 2], y))
+        want = html_text.aligned(a, b)
+        at = [(id(u), id(v)) for u, v in want[1]]
+        monkeypatch.setattr(html_text, "CELLS", 10)
+        got = html_text.aligned(a, b)
+        monkeypatch.undo()
+        assert got[0] == want[0] and [(id(u), id(v)) for u, v in got[1]] == at
+    a, b = (["body", "", 0, [["p" if i < 4200 else "q", "", 0, []] for i in order]] for order in ([*range(8400)], [*range(4200, 8400), *range(4200)]))
+    assert html_text.aligned(a, b)[0] == 4201
+
+
 def test_html_of_deep_pages(spark):
     deep = "<body>" + "<div>" * 2500 + "<p>Same on all</p><p>{}</p>"
     inside = "<body><article>" + "<div>" * 500 + "<p>Same on all</p><p>{}</p>"
