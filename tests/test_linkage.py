@@ -1,5 +1,6 @@
 import glob
 import os
+import re
 
 import duckdb
 import pytest
@@ -154,3 +155,22 @@ def test_top_cosine_by_tiles(spark, part):
             wanted += [(q, t, score) for score, t in sorted((x for x in dots if x[0] >= 0.15), key=lambda x: (-x[0], x[1]))[:4]]
     assert sorted(map(tuple, got.collect())) == sorted(wanted) and wanted
     assert blocking.top_cosine(postings.limit(0), spark.createDataFrame(placed, "entity_id string, source int, block string"), 4).count() == 0
+
+
+def test_joins_of_records_are_not_broadcast(spark, tmp_path):
+    """Rows that grow with the records don't go through the driver, at the default size up to which Spark broadcasts."""
+    from recordloom.operators import blocking, evaluate, postings
+
+    rows = [(f"{s}-{i}", s, "x", f"name {i % 7} word{i % 3}", f"{i} main street") for i in range(30) for s in (1, 2)]
+    spark.createDataFrame(rows, "entity_id string, source int, country_n string, name_n string, addr_n string").write.parquet(f"{tmp_path}/canon")
+    canon = spark.read.parquet(f"{tmp_path}/canon")
+    grams = postings.gram_postings(canon, "name_n")
+    pairs = blocking.top_cosine(grams, blocking.blocks(canon, by_country=False), 3)
+    cosines = blocking.pair_cosine(pairs.select("q", "t"), grams, "p1")
+    truth = spark.createDataFrame([("1-0", "2-0")], "s1_id string, t_id string")
+    assert cosines.count() == pairs.count() > 0
+    for made, keys in ((grams, ("gram", "entity_id")), (postings.with_weights(canon), ("token", "entity_id")), (cosines, ("gram", "entity_id", "q", "t")), (evaluate.labelled(pairs, truth), ("q",))):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        met = re.findall(r"BroadcastHashJoin \[([^\]]*)\]", plan)
+        assert not [x for x in met if any(f"{k}#" in x for k in keys)], met
+        assert "SortMergeJoin" in plan
