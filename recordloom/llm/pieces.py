@@ -36,8 +36,11 @@ class Model:
             raise ValueError("a piece has a mark behind a letter; words can't be encoded by themselves")
         bars = "".join(c for c in "\n\t\r" if c not in inside)
         self.bars = re.compile(f"([{re.escape(bars)}])") if bars else None  # characters that no merge reaches across
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.alone: dict[str, bool] = {}
+        self.heads = {p[:i] for p in pieces for i in range(1, len(p) + 1)}
+        self.steps: dict[str, tuple[str, list[tuple[str, int, dict[str, bool]]]]] = {}
+        self.pairs: dict[str, dict[str, bool]] = {}  # by the second piece, then the first; "": at a word's start
+        self.n_pairs = 0
+        self.stored: dict[str, bytes] = {}
         self.floor = min((s for _, s in pieces.values()), default=0.0) - 10
 
     @classmethod
@@ -67,19 +70,28 @@ class Model:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def follows(self, a: str, b: str) -> bool:
-        key = (a, b)
-        out = self.pairs.get(key)
-        if out is None:
-            if len(self.pairs) > 1_000_000:
-                self.pairs.clear()
-            out = self.pairs[key] = self.merged(a + b) == [a, b]
+    def follows(self, a: str, b: str, known: dict[str, bool]) -> bool:
+        """Whether b comes next to a, or at the start where a is empty; remembered in known."""
+        if self.n_pairs > 1_000_000:
+            self.n_pairs = 0
+            for x in self.pairs.values():
+                x.clear()
+        self.n_pairs += 1
+        out = known[a] = self.merged(a + b) == ([a, b] if a else [b])
         return out
 
-    def stands(self, a: str) -> bool:
-        out = self.alone.get(a)
-        if out is None:
-            out = self.alone[a] = self.merged(a) == [a]
+    def step(self, seen: str) -> tuple[str, list[tuple[str, int, dict[str, bool]]]]:
+        """The longest end of seen that begins a piece, and the pieces that seen ends with, the longest first and the last character in any case, with their lengths and what is known
+        to stand before them. The start of a word's step holds what may yet become a piece, so that no other beginning is looked at."""
+        if len(self.steps) > 500_000:
+            self.steps.clear()
+        at = 0
+        while at < len(seen) and seen[at:] not in self.heads:
+            at += 1
+        ends = [seen[i:] for i in range(at, len(seen)) if seen[i:] in self.pieces]
+        if not ends or len(ends[-1]) > 1:
+            ends.append(seen[-1])
+        out = self.steps[seen] = seen[at:], [(t, len(t), self.pairs.setdefault(t, {})) for t in ends]
         return out
 
     def ids(self, piece: str) -> list[int]:
@@ -90,33 +102,48 @@ class Model:
             return [self.unknown]
         return [self.byte_ids[b] for b in piece.encode("utf-8", "replace")]
 
+    def packed(self, pieces: list[str]) -> bytes:
+        """The ids of pieces, as 32-bit integers."""
+        try:
+            return b"".join([self.stored[p] for p in pieces])
+        except KeyError:
+            self.stored.update({p: np.array(self.ids(p), np.int32).tobytes() for p in pieces})
+            return b"".join([self.stored[p] for p in pieces])
+
 
 def encode_sorted(model: Model, words: list[str]) -> list[list[str]]:
     """Pieces of each of the sorted words."""
     out: list[list[str]] = []
     last: list[str] = [""]  # last[i]: the last piece of the best encoding of the first i characters
     score: list[float] = [0.0]
-    before, pieces, longest = "", model.pieces, model.longest
+    state: list[str] = [""]  # state[i]: the longest end of the first i characters that begins a piece
+    before, pieces, steps, step, follows = "", model.pieces, model.steps, model.step, model.follows
     for word in words:
         n, same = len(word), 0
         while same < n and same < len(before) and word[same] == before[same]:
             same += 1
-        del last[same + 1 :], score[same + 1 :]
+        del last[same + 1 :], score[same + 1 :], state[same + 1 :]
+        now = state[same]
         for i in range(same + 1, n + 1):
+            seen = now + word[i - 1]
+            now, ends = steps.get(seen) or step(seen)
+            state.append(now)
             if model.merges:
-                for j in range(max(0, i - longest), i):
-                    t = word[j:i]
-                    if (t in pieces or j == i - 1) and (model.follows(last[j], t) if j else model.stands(t)):
+                for t, size, known in ends:
+                    a = last[i - size]
+                    fits = known.get(a)
+                    if fits is None:
+                        fits = follows(a, t, known)
+                    if fits:
                         break
                 last.append(t)
                 score.append(0.0)
             else:
                 best, piece = float("-inf"), ""
-                for j in range(max(0, i - longest), i):
-                    t = word[j:i]
+                for t, size, _ in ends:
                     x = pieces.get(t)
-                    s = score[j] + (x[1] if x else model.floor)
-                    if (x or j == i - 1) and s > best:
+                    s = score[i - size] + (x[1] if x else model.floor)
+                    if s > best:
                         best, piece = s, t
                 last.append(piece)
                 score.append(best)
@@ -139,14 +166,15 @@ class Encoder:
         self.words: dict[str, bytes] = {}  # by the word without its mark
 
     def learn(self, words: set[str]) -> None:
-        cut = self.model.bars.split if self.model.bars else lambda w: [w]
-        parts = {w: [x for x in cut(MARK + w) if x] for w in words}
-        new = sorted({p for x in parts.values() for p in x})
-        ids = {}
-        for p, pieces in zip(new, encode_sorted(self.model, new), strict=True):
-            ids[p] = [i for piece in pieces for i in self.model.ids(piece)]
-        for w, x in parts.items():
-            self.words[w] = np.array([i for p in x for i in ids[p]], np.int32).tobytes()
+        bars = self.model.bars
+        cut = {w: [x for x in bars.split(MARK + w) if x] for w in words if bars.search(w)} if bars else {}
+        new = {MARK + w for w in words if w not in cut}
+        new.update(p for x in cut.values() for p in x)
+        new = sorted(new)
+        packed = self.model.packed
+        ids = {p: packed(pieces) for p, pieces in zip(new, encode_sorted(self.model, new), strict=True)}
+        for w in words:
+            self.words[w] = b"".join([ids[p] for p in cut[w]]) if w in cut else ids[MARK + w]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.words) > self.MOST:

@@ -327,6 +327,29 @@ def test_unigram_pass_is_the_best_cut():
         assert "".join(got) == w and abs(score(got) - max(map(score, cuts(w)))) < 1e-9
 
 
+def test_pass_looks_only_at_what_may_become_a_piece():
+    class Counted(dict):
+        looked = 0
+
+        def __contains__(self, x):
+            Counted.looked += 1
+            return super().__contains__(x)
+
+        def get(self, x, other=None):
+            Counted.looked += 1
+            return super().get(x, other)
+
+    rng = random.Random(8)
+    parts = ["".join(rng.choice("abc") for _ in range(k)) for k in (2, 2, 2, 3, 3, 4, 5)] + ["d" * 40, "ab", "abc"]
+    pieces_ = {p: (i, float(-i)) for i, p in enumerate(dict.fromkeys(["a", "b", "c", *sorted(parts, key=len)]))}
+    words = sorted({"".join(rng.choice("abcde") for _ in range(rng.randrange(1, 30))) for _ in range(400)})
+    model = pieces.Model(Counted(pieces_), {})
+    merged = [model.merged(w) for w in words]
+    assert pieces.encode_sorted(model, words) == merged
+    Counted.looked = 0
+    assert pieces.encode_sorted(model, words) == merged and Counted.looked == 0
+
+
 def test_token_stream(spark, odd):
     from tokenizers import Tokenizer
 
