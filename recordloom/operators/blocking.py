@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -9,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions import text as T
 from .postings import MERGE, ONE, rarest
@@ -89,12 +92,44 @@ def top_cosine(postings: DataFrame, placed: DataFrame, k: int, least: float = 0.
     return top_scored(best, "score", k)
 
 
+def _pair_dots(columns: list[str], schema: pa.Schema):
+    """Pairs with the cosine of the two records beside them, by sums of whole numbers."""
+
+    def grams_of(batch: pa.RecordBatch, side: str) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+        sizes = batch[f"sizes_{side}"]
+        at = np.repeat(np.arange(batch.num_rows), pc.fill_null(pc.list_value_length(sizes), 0).to_numpy(zero_copy_only=False))
+        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(pc.list_flatten(sizes).to_numpy(zero_copy_only=False), dtype=np.int64)])
+        text = b"".join(x for x in batch[f"grams_{side}"].to_pylist() if x)
+        return at, pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(text)]), pc.list_flatten(batch[f"ws_{side}"]).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dots = np.zeros(batch.num_rows, np.int64)
+            at_a, grams_a, ws_a = grams_of(batch, "a")
+            at_b, grams_b, ws_b = grams_of(batch, "b")
+            if len(at_a) and len(at_b):
+                codes = pa.concat_arrays([grams_a, grams_b]).dictionary_encode().indices.to_numpy().astype(np.int64)
+                a, b = (at_a << 32) + codes[: len(at_a)], (at_b << 32) + codes[len(at_a) :]
+                order = np.argsort(a)
+                a, ws_a = a[order], ws_a[order]
+                place = np.minimum(np.searchsorted(a, b), len(a) - 1)
+                met = a[place] == b
+                np.add.at(dots, at_b[met], ws_a[place[met]] * ws_b[met])
+            yield pa.RecordBatch.from_arrays([*[batch[c] for c in columns], pa.array(dots / float(ONE * ONE))], schema=pa.schema([*[batch.schema.field(c) for c in columns], *schema]))
+
+    return run
+
+
 def pair_cosine(pairs: DataFrame, postings: DataFrame, name: str) -> DataFrame:
-    """pairs (q, t) with the exact cosine, 0 where nothing is shared. Each record's weights are one map, so pairs meet rows, not postings."""
-    maps = postings.groupBy("entity_id").agg(F.map_from_entries(F.collect_list(F.struct("gram", "w"))).alias("m"))
-    both = pairs.join(maps.select(F.col("entity_id").alias("q"), F.col("m").alias("ma")).hint(MERGE), "q", "left").join(maps.select(F.col("entity_id").alias("t"), F.col("m").alias("mb")).hint(MERGE), "t", "left")
-    dot = F.aggregate(F.array_intersect(F.map_keys("ma"), F.map_keys("mb")), F.lit(0).cast("long"), lambda s, g: s + F.col("ma")[g] * F.col("mb")[g])
-    return both.withColumn(name, F.coalesce(dot / float(ONE * ONE), F.lit(0.0))).drop("ma", "mb")
+    """pairs (q, t) with the exact cosine, 0 where nothing is shared. Each record's grams are one text, with their sizes and weights beside it, so that a pair meets two short
+    rows instead of maps or postings, and the work of a pair grows with its grams, not with their product."""
+    xs = postings.groupBy("entity_id").agg(F.collect_list(F.struct("gram", F.col("w").cast("int").alias("w"))).alias("xs"))
+    columns = {"grams": F.array_join("xs.gram", "").cast("binary"), "sizes": F.transform("xs.gram", lambda g: F.octet_length(g).cast("short")), "ws": F.col("xs.w")}
+    records = xs.select("entity_id", *[c.alias(n) for n, c in columns.items()])
+    side = lambda key, x: records.select(F.col("entity_id").alias(key), *[F.col(n).alias(f"{n}_{x}") for n in columns]).hint(MERGE)
+    both = pairs.join(side("t", "b"), "t", "left").join(side("q", "a"), "q", "left")
+    out = StructType([*pairs.schema.fields, StructField(name, DoubleType())])
+    return both.mapInArrow(_pair_dots(pairs.columns, pa.schema([(name, pa.float64())])), out)
 
 
 def record_keys(weighted: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 import glob
 import os
 import re
+import time
 
 import duckdb
 import pytest
@@ -174,3 +175,17 @@ def test_joins_of_records_are_not_broadcast(spark, tmp_path):
         met = re.findall(r"BroadcastHashJoin \[([^\]]*)\]", plan)
         assert not [x for x in met if any(f"{k}#" in x for k in keys)], met
         assert "SortMergeJoin" in plan
+
+
+def test_pair_cosine_grows_with_the_grams_of_a_pair(spark):
+    """Two records of 60,000 grams take seconds, not the product of their grams; grams of any characters and size, absent records and null ids too."""
+    n, began = 60_000, time.time()
+    rows = spark.range(2 * n).selectExpr(f"if(id < {n}, 'q', 't') as entity_id", f"id % {n} + if(id < {n}, 0, 7) as i")
+    grams = rows.selectExpr("entity_id", "if(i % 3 = 0, concat(i, 'é'), cast(i as string)) as gram", "1 + (i * 31 + if(entity_id = 'q', 5, 11)) % 1009 as w").unionByName(
+        spark.createDataFrame([("s", "", 3), ("s", "a b", 5), ("u", "", 7), ("u", "a b\n", 11)], "entity_id string, gram string, w long")
+    )
+    pairs = spark.createDataFrame([("q", "t", 1), ("s", "u", 2), ("q", "u", 3), ("q", "nobody", 4), (None, "t", 5)], "q string, t string, n int")
+    got = {r["n"]: r["p1"] for r in blocking.pair_cosine(pairs, grams, "p1").collect()}
+    one = float(1 << 60)
+    assert got == {1: sum((1 + (i * 31 + 5) % 1009) * (1 + (i * 31 + 11) % 1009) for i in range(7, n)) / one, 2: 21 / one, 3: 0.0, 4: 0.0, 5: 0.0}
+    assert time.time() - began < 45
