@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -156,3 +157,20 @@ def test_structure_ties_and_prune(spark):
     assert hard == {("a", "x"): round(0.9 / 1.9, 6), ("b", "x"): round(0.9 / 1.9, 6), ("c", "x"): 0.0, ("a", "y"): 0.4}
     kept = structure.pruned(rows.withColumnRenamed("p3", "p1"), 0.3, 1)
     assert sorted((r["q"], r["t"]) for r in kept.collect()) == [("a", "x"), ("b", "x")]
+
+
+def test_tuned_as_each_setting_alone(spark):
+    """Every setting gives the F of its own decisions, and no pair is moved for a setting: settings are dealt to lists of records."""
+    rng = random.Random(5)
+    pairs = spark.createDataFrame([(f"q{i}", f"t{j}", round(rng.random(), 2)) for i in range(40) for j in range(i % 5)], "q string, t string, p double")
+    none = spark.createDataFrame([(f"q{i}", rng.random()) for i in range(30)], "q string, pe double")
+    truth = spark.createDataFrame([(f"q{i}", f"t{j}") for i in range(40) for j in range(6) if rng.random() < 0.3], "s1_id string, t_id string")
+    sizes = spark.createDataFrame([(f"q{i}",) for i in range(38)], "q string").join(truth.groupBy(F.col("s1_id").alias("q")).agg(F.count("*").cast("int").alias("n")), "q", "left").na.fill(0)
+    got = structure.tuned(pairs, none, truth, sizes, (0.7, 1.0), (0.7, 1.3), (0.4, 0.8))
+    rows = sorted(map(tuple, got.collect()))
+    assert [r[:5] for r in rows] == [(0, "expected", 0.7, 0.7, 0.0), (1, "expected", 0.7, 1.3, 0.0), (2, "expected", 1.0, 0.7, 0.0), (3, "expected", 1.0, 1.3, 0.0), (4, "threshold", 1.0, 1.0, 0.4), (5, "threshold", 1.0, 1.0, 0.8)]
+    for _, policy, temperature, scale, tau, f in rows:
+        chosen = structure.over_threshold(pairs, tau) if policy == "threshold" else structure.decided(pairs, none, temperature, scale)
+        assert abs(f - structure.macro_f_by(chosen, truth, sizes).agg(F.avg("f")).first()[0]) < 1e-12
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" in plan and not re.search(r"\(t#\d+ = t#\d+\)", plan.split("Generate")[0])  # settings come after the pairs have met the truth
