@@ -189,3 +189,15 @@ def test_pair_cosine_grows_with_the_grams_of_a_pair(spark):
     one = float(1 << 60)
     assert got == {1: sum((1 + (i * 31 + 5) % 1009) * (1 + (i * 31 + 11) % 1009) for i in range(7, n)) / one, 2: 21 / one, 3: 0.0, 4: 0.0, 5: 0.0}
     assert time.time() - began < 45
+
+
+def test_truth_and_rendered_records_are_not_broadcast(spark, tmp_path):
+    """The ground truth, which gives labels, and the rendered records: only the nations go through the driver."""
+    made = synth.records(spark, DIR)
+    made.write.parquet(f"{tmp_path}/records")
+    stored = spark.read.parquet(f"{tmp_path}/records")
+    assert stored.count() > 0 and synth.truth(stored).count() > 0
+    for rows, key in ((made, "s_suppkey"), (synth.truth(stored), "true_id")):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert not [x for x in re.findall(r"BroadcastHashJoin \[([^\]]*)\]", plan) if not x.startswith("c_nationkey#")]
+        assert re.search(rf"SortMergeJoin \[{key}#", plan)
