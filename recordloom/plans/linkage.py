@@ -35,8 +35,8 @@ def prepared(records: DataFrame, cfg: Config, folder: str, tag: str, rewrites: d
     """Records normalised and indexed, stored. Weights come from the split's own records."""
     spark, key = records.sparkSession, {"tag": tag, "rewrites": rewrites, "ngrams": cfg.ngrams, "sample": cfg.sample, "seed": cfg.seed}
     weighted = stage(spark, folder, "weighted", lambda: postings.with_weights(normalise.canonical(records, rewrites)), **key)
-    name = stage(spark, folder, "grams_name", lambda: postings.gram_postings(weighted, "name_n", cfg.ngrams), **key)
-    full = stage(spark, folder, "grams_full", lambda: postings.gram_postings(weighted, "full_n", cfg.ngrams), **key)
+    name = stage(spark, folder, "grams_name", lambda: postings.packed_postings(weighted, "name_n", cfg.ngrams), **key)
+    full = stage(spark, folder, "grams_full", lambda: postings.packed_postings(weighted, "full_n", cfg.ngrams), **key)
     return Split(weighted, name, full, blocking.blocks(weighted, by_country), vectors)
 
 

@@ -65,7 +65,7 @@ class Data:
         return self._once("placed", lambda: blocking.blocks(self.canon))
 
     def grams(self, text: str) -> DataFrame:
-        return self._once(f"grams {text}", lambda: postings.gram_postings(self.canon, text, CFG.ngrams))
+        return self._once(f"grams {text}", lambda: postings.packed_postings(self.canon, text, CFG.ngrams))
 
     @property
     def keys(self) -> DataFrame:

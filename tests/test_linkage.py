@@ -201,3 +201,58 @@ def test_truth_and_rendered_records_are_not_broadcast(spark, tmp_path):
         plan = rows._jdf.queryExecution().executedPlan().toString()
         assert not [x for x in re.findall(r"BroadcastHashJoin \[([^\]]*)\]", plan) if not x.startswith("c_nationkey#")]
         assert re.search(rf"SortMergeJoin \[{key}#", plan)
+
+
+def test_packed_grams_and_their_pairs(spark):
+    """Packed postings are the long ones, and pairs that go to the tiles get the cosines of pairs that meet their grams: absent records, nulls and further columns too."""
+    from recordloom.operators import postings
+
+    d = Data(spark, DIR)
+    for text, sizes in (("full_n", (3, 4)), ("name_n", (2, 3))):
+        long = {(r["entity_id"], r["gram"]): r["w"] for r in postings.gram_postings(d.canon, text, sizes).collect()}
+        got, repeated = {}, 0
+        for r in postings.packed_postings(d.canon, text, sizes).collect():
+            for g, w in zip(r["grams"], r["ws"], strict=True):
+                name = g if isinstance(g, str) else g.to_bytes(4, "big").lstrip(b"\0").decode()
+                repeated += (r["entity_id"], name) in got
+                got[r["entity_id"], name] = w
+        assert not repeated and got.keys() == long.keys() and max(abs(got[x] - long[x]) for x in got) <= 1
+    pairs = d.key_pairs.withColumn("n", F.lit(7)).unionByName(spark.createDataFrame([("S1-1", "nobody", 8), ("S1-1", None, 9)], "q string, t string, n int"))
+    grams = d.grams("name_n")
+    tiled, joined = (sorted((str(x) for x in blocking.pair_cosine(pairs, grams, "p1", *placed).collect())) for placed in ((d.placed,), ()))
+    assert tiled == joined and len(tiled) == pairs.count()
+    plan = blocking.pair_cosine(pairs, grams, "p1", d.placed)._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan
+
+
+def test_tile_of_many_targets():
+    """A tile holds a few rows of scores at a time, and its best are those of all exact scores: common grams, grams that always come together, repeated records."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    n, m, k = 30_000, 600, 5
+    every = [np.unique(np.concatenate([[1, 2, 3], 10 + 3 * rng.integers(0, 8, 1).repeat(3) + [0, 1, 2], rng.integers(100, 900, 5)])) for _ in range(n + m - 300)]
+    every += every[:300]
+    ws = [(rng.integers(1, 5, len(x)) if i % 3 else np.full(len(x), 2)).astype(np.float64) for i, x in enumerate(every)]
+    ws[-300:] = ws[:300]
+    ws = [np.floor(w / np.sqrt((w * w).sum()) * blocking.ONE) for w in ws]
+    table = lambda key, at: pa.table({key: [f"{key}{i:05d}" for i in at], "grams": pa.array([every[i] for i in at], pa.list_(pa.int32())), "ws": pa.array([ws[i] for i in at], pa.list_(pa.int32()))})
+    left, right = table("q", range(n, n + m)), table("t", range(n))
+    schema = pa.schema([("q", pa.string()), ("t", pa.string()), ("score", pa.float64())])
+    tracemalloc.start()
+    got = blocking._tile_product(k, 0.15, schema)(left, right).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 230e6, peak  # a score for each pair of the tile alone has 144e6 bytes, twice
+    dense = np.zeros((n, 900), np.int64)
+    for i in range(n):
+        dense[i, every[i]] = ws[i]
+    for i in (n, n + 5, n + m - 300, n + m - 1):
+        row = np.zeros(900, np.int64)
+        row[every[i]] = ws[i]
+        score = dense @ row / float(blocking.ONE**2)
+        best = np.lexsort((np.arange(n), -score))[:k]
+        assert [(r["t"], r["score"]) for r in got if r["q"] == f"q{i:05d}"] == [(f"t{j:05d}", score[j]) for j in best if score[j] >= 0.15]
